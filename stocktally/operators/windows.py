@@ -30,36 +30,30 @@ def previous_value(
     """lag(value) per key in ascending time, NULL times last.
 
     The window is cut into calendar slices so that a key holding a large share of
-    the rows is spread over many tasks. The first row of a slice takes its value
-    from the last row of the key's previous slice; that lookup runs over one row
-    per key and slice.
+    the rows is spread over many tasks. Each slice starts with one carried row: the
+    newest value of the key's previous slice, found over one row per key and slice.
     """
-    cut = "__slice"
+    cut, body_flag = "__slice", "__body"
     sliced = df.withColumn(cut, F.date_trunc(slice_unit, F.col(ts)))
-    order = [F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
-    inner = Window.partitionBy(*keys, cut).orderBy(*order)
-    body = (
-        sliced.withColumn("__seq", F.row_number().over(inner))
-        .withColumn("__lag", F.lag(value).over(inner))
-    )
-    # Newest row of every slice: max over an ordering struct, combined map-side.
+    newest = [F.col(ts).isNull().alias("n"), F.col(ts).alias("t")]
+    for i, c in enumerate(tiebreak):
+        newest += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"b{i}")]
     last = sliced.groupBy(*keys, cut).agg(
-        F.max(F.struct(
-            F.col(ts).isNull().alias("n"), F.col(ts).alias("t"),
-            *[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"b{i}")
-              for i, c in enumerate(tiebreak)],
-            F.col(value).alias("value"),
-        )).alias("__last")
+        F.max(F.struct(*newest, F.col(value).alias("value"))).alias("__last")
     )
     slices = Window.partitionBy(*keys).orderBy(F.col(cut).asc_nulls_last())
-    carry = last.select(*keys, cut, F.lag("__last").over(slices)["value"].alias("__carry"))
-    carry = carry.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(cut).alias("__k_cut"), "__carry")
-    match = F.col(cut).eqNullSafe(F.col("__k_cut"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = body.join(carry, match, "left")
-    result = joined.withColumn(out, F.when(F.col("__seq") == 1, F.col("__carry")).otherwise(F.col("__lag")))
-    return result.drop(cut, "__seq", "__lag", "__carry", "__k_cut", *[f"__k_{k}" for k in keys])
+    carried = last.select(
+        *keys, cut, F.lag("__last").over(slices)["value"].alias("__value"), F.lit(0).alias(body_flag)
+    )
+    body = sliced.withColumn("__value", F.col(value)).withColumn(body_flag, F.lit(1))
+    order = [F.col(body_flag), F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
+    inner = Window.partitionBy(*keys, cut).orderBy(*order)
+    return (
+        body.unionByName(carried, allowMissingColumns=True)
+        .withColumn(out, F.lag("__value").over(inner))
+        .filter(F.col(body_flag) == 1)
+        .drop(cut, "__value", body_flag)
+    )
 
 
 def share_of_group(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
