@@ -21,10 +21,10 @@ insured inventory issuable issued item journal kit landed last lead len level lg
 main manufacture markup max mc min modified multiply name next note num number object of on order ordered other
 outsourced owner package part parent payment percentage picked plugin point post posted price primary printed
 priority product qb qty quantity rate reason receipt received receiving reconciled record ref register related
-release remit repair return revision sales salesman scheduled scrap scrapped scrapqty sequence serial serialized
+release remit repair return revision sales salesman scheduled scrap scrapped sequence serial serialized
 service ship shipment shipped shipper size sku so sort sought started state status std subtotal sysuser table tag
 target tax tbd terms time to total tracking txn type unit uom upc url used user value variance vendor warehouse
-taxable weight width wo woitem xo xoitem zip po mo identification standard rev trackingflag old responsibility sell
+taxable weight width wo xo zip po mo identification standard rev old responsibility sell
 """.split())
 
 # Spelled-out forms, applied word by word.
