@@ -103,7 +103,7 @@ def top_n_else_other(
     )
     return (
         df.join(leaders, F.col(member) == F.col("__leader"), "left")
-        .withColumn(out, F.coalesce(F.col("__leader"), F.lit(other)))
+        .withColumn(out, F.coalesce(F.col("__leader").cast("string"), F.lit(other)))
         .drop("__leader")
     )
 
