@@ -181,5 +181,9 @@ def zip3_number(postcode: ColumnLike) -> Column:
 
 
 def zip_state(postcode: ColumnLike) -> Column:
-    z = zip3_number(postcode)
-    return ladder([(z.between(lo, hi), F.lit(state)) for lo, hi, state in ZIP3_STATES], F.lit(None))
+    """State of a postcode: one lookup in a constant array of the 1000 prefixes."""
+    by_prefix = [""] * 1000
+    for low, high, state in ZIP3_STATES:
+        by_prefix[low:high + 1] = [state] * (high - low + 1)
+    states = F.split(F.lit(",".join(by_prefix)), ",")
+    return blank_to_null(F.try_element_at(states, zip3_number(postcode) + 1))
