@@ -15,13 +15,12 @@ def dense_rank_ids(values: DataFrame, column: str, out: str) -> DataFrame:
 
     A range-partitioned sort gives each task a slice of the order; the position in
     the slice plus the number of rows in earlier slices is the rank. The sorted
-    result is checkpointed so both passes see the same slices after an executor loss.
+    result is written once, so both passes see the same slices after an executor loss.
     """
-    spark = values.sparkSession
     ordered = values.orderBy(column).select(
         column, F.monotonically_increasing_id().alias("__mono")
     )
-    ordered = cut_lineage(ordered).select(
+    ordered = cut_lineage(ordered, "ranked").select(
         column,
         F.shiftright("__mono", _PARTITION_SHIFT).alias("__slice"),
         F.col("__mono").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1)).alias("__pos"),

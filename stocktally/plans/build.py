@@ -17,8 +17,9 @@ from stocktally.sources.tables import Tables
 SHARED = (
     "fishbowl_soitem", "fishbowl_product", "fishbowl_uomconversion", "fishbowl_part", "magento_sales_order_item",
     "magento_sales_order", "magento_catalog_product_entity_int", "magento_catalog_product_entity_varchar",
-    "magento_catalog_product_entity_text", "magento_d_customerupdated", "inventory_qtyinventorytotals", "int_fishbowl_order_cost",
-    "int_magento_product_eav_lookups", "int_sales_cost_fallback", "d_product", "f_sales", "f_pos",
+    "magento_catalog_product_entity_text", "magento_d_customerupdated", "inventory_qtyinventory", "int_item_costs",
+    "int_magento_order_freight", "int_magento_product_eav_lookups", "int_sales_cost_fallback", "int_shop_items", "int_receipt_lines",
+    "d_product", "f_sales", "f_pos",
 )
 
 

@@ -77,7 +77,7 @@ def _erp_item_costs(t: Tables, cfg: RetailConfig) -> DataFrame:
     )
 
 
-def order_cost(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
+def item_costs(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
     """Cost of each shop item from the ERP lines that point to it.
 
     A shop item matched by one line takes that line's cost. With several lines the
@@ -101,7 +101,7 @@ def order_cost(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
         "order_item_id", "order_id", "product_id", "row_total",
         F.col("order_item_id").cast("string").alias("shop_item"), F.col("product_id").cast("string").alias("shop_product"),
     )
-    costed = (
+    return (
         items.alias("m").join(by_item.alias("i"), F.col("m.shop_item") == F.col("i.shop_item"), "left")
         .join(
             by_product.alias("p"),
@@ -117,6 +117,11 @@ def order_cost(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
             F.when(several & (F.col("m.row_total") != 0), F.col("i.a_weighted")).alias("averageweightedcost_avg"),
         )
     )
+
+
+def order_cost(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
+    """Item costs with the totals of their order."""
+    costed = t["int_item_costs"]
     per_order = costed.groupBy("order_id").agg(
         F.sum(F.coalesce("cost_unique", "cost_duplicate")).alias("order_cost"),
         F.sum(F.coalesce("averageweightedcost_unique", "averageweightedcost_duplicate")).alias("order_cost_average"),
@@ -144,7 +149,7 @@ def net_row_total() -> Column:
 
 def cost_fallback(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
     """Unit cost of a product on the newest time at which a cost was known."""
-    costs = t["int_fishbowl_order_cost"].drop("order_id", "magento_product_id")
+    costs = t["int_item_costs"].drop("order_id", "magento_product_id")
     rows = t["magento_sales_order_item"].join(costs, "order_item_id", "left").select(
         "order_item_id", "product_id", "product_type", "parent_item_id",
         wall_clock("item_created_at", cfg.timezone).alias("sold_at"),
@@ -237,6 +242,7 @@ def product_conversion(t: Tables, cfg: RetailConfig = DEFAULT, reference_key: bo
 def builders(cfg: RetailConfig = DEFAULT) -> dict:
     return {
         "int_fishbowl_magento_order_map": order_map,
+        "int_item_costs": lambda t: item_costs(t, cfg),
         "int_fishbowl_order_cost": lambda t: order_cost(t, cfg),
         "int_sales_cost_fallback": lambda t: cost_fallback(t, cfg),
         "int_magento_order_freight": lambda t: order_freight(t, cfg),

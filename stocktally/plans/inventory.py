@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.functions.scalars import uom_convert
 from stocktally.operators.aggregates import pivot_sum
-from stocktally.operators.ordering import labelled_stack
+from stocktally.operators.ordering import stack
 from stocktally.sources.tables import Tables
 
 GROUP = ["part_id", "location_group_id"]
@@ -103,93 +105,132 @@ LINE_QUANTITIES: dict[str, LineQuantity] = {
 }
 
 
-def line_quantity(t: Tables, name: str) -> DataFrame:
-    """Open quantity of order lines in the part's own unit."""
-    spec = LINE_QUANTITIES[name]
-    l_status, l_type = _LINE[spec.line]
+def open_lines(t: Tables, names: Sequence[str]) -> DataFrame:
+    """Open quantity per kind, part, location group and unit for several quantities.
+
+    Quantities over the same header and line share one join: a joined line is copied
+    once per kind it counts for, with that kind's location. Sums per item come before
+    the item tables are joined, so a hot item shrinks to a few rows per task.
+    """
+    families: dict[tuple[str, str], list[str]] = {}
+    for name in names:
+        spec = LINE_QUANTITIES[name]
+        families.setdefault((spec.header, spec.line), []).append(name)
+    return stack([_family(t, kinds) for kinds in families.values()])
+
+
+def _family(t: Tables, kinds: Sequence[str]) -> DataFrame:
+    specs = {k: LINE_QUANTITIES[k] for k in kinds}
+    first = specs[kinds[0]]
+    l_status, l_type = _LINE[first.line]
     nothing = F.lit(None).cast("int")
-    open_qty = F.col(spec.quantity[0])
-    for done in spec.quantity[1:]:
+    open_qty = F.col(first.quantity[0])
+    for done in first.quantity[1:]:
         open_qty = open_qty - F.col(done)
-    lines = t[spec.line].select(
-        spec.link, F.col("product_id" if spec.via_product else "part_id").alias("l_item"), F.col("uom_id").alias("l_uom"),
+    lines = t[first.line].select(
+        first.link, F.col("product_id" if first.via_product else "part_id").alias("l_item"), F.col("uom_id").alias("l_uom"),
         (F.col(l_status) if l_status else nothing).alias("l_status"),
         (F.col(l_type) if l_type else nothing).alias("l_type"), open_qty.alias("l_qty"),
     )
-    headers = t[spec.header].select(
-        spec.link, F.col(_STATUS[spec.header]).alias("h_status"),
-        F.col(spec.location).alias("location_group_id"),
-    )
-    # The predicate splits into header and line parts that reach each scan.
-    # Lines are summed per item, place and unit before the item tables come in: the
-    # conversion is linear, and a hot item shrinks to a few rows per task.
-    rows = (
-        lines.join(headers, spec.link).filter(spec.lines())
-        .groupBy("l_item", "location_group_id", "l_uom").agg(F.sum("l_qty").alias("l_qty"))
-    )
-    parts = t["fishbowl_part"].select("part_id", "default_uom_id")
-    if spec.via_product:
+    places = sorted({s.location for s in specs.values()})
+    headers = t[first.header].select(first.link, F.col(_STATUS[first.header]).alias("h_status"), *places)
+    joined = lines.join(headers, first.link)
+    if len(specs) == 1:
+        tagged = joined.filter(first.lines()).select("*", F.lit(kinds[0]).alias("kind"), F.col(first.location).alias("place"))
+    else:
+        # The union of the conditions reaches both scans before the shuffle.
+        joined = joined.filter(reduce(or_, (s.lines() for s in specs.values())))
+        counts_for = F.array(*[
+            F.struct(F.lit(k).alias("kind"), F.col(s.location).alias("place"), s.lines().alias("hit")) for k, s in specs.items()
+        ])
+        tagged = joined.select("*", F.inline(F.filter(counts_for, lambda c: c["hit"])))
+    summed = tagged.groupBy("kind", "l_item", F.col("place").alias("location_group_id"), "l_uom").agg(F.sum("l_qty").alias("l_qty"))
+    if first.via_product:
         products = t["fishbowl_product"].select(F.col("product_id").alias("l_item"), "part_id")
-        rows = rows.join(products, "l_item")
+        summed = summed.join(products, "l_item")
     else:
-        rows = rows.withColumnRenamed("l_item", "part_id")
+        summed = summed.withColumnRenamed("l_item", "part_id")
+    return summed.select("kind", *GROUP, "l_uom", "l_qty")
+
+
+def in_part_units(t: Tables, lines: DataFrame) -> DataFrame:
+    """Open lines as (kind, part, location group, quantity) in the part's own unit."""
+    parts = t["fishbowl_part"].select("part_id", "default_uom_id")
     conversions = t["fishbowl_uomconversion"].select(
         F.col("to_uom_id").alias("default_uom_id"), F.col("from_uom_id").alias("l_uom"), "multiply_factor", "factor"
     )
-    rows = rows.join(parts, "part_id").join(conversions, ["default_uom_id", "l_uom"], "left")
     qty = uom_convert("l_qty", "l_uom", "default_uom_id", "multiply_factor", "factor")
-    return rows.groupBy(*GROUP).agg(F.coalesce(F.sum(qty), F.lit(0)).alias(spec.out))
+    return lines.join(parts, "part_id").join(conversions, ["default_uom_id", "l_uom"], "left").select(
+        "kind", *GROUP, qty.alias("quantity")
+    )
+
+
+def line_quantity(t: Tables, name: str) -> DataFrame:
+    return _total(t, [name], LINE_QUANTITIES[name].out)
 
 
-def tag_quantity(t: Tables, amount: Column, keep: Column, out: str) -> DataFrame:
-    """Sum of a tag amount per part and location group."""
+def _free() -> Column:
+    return F.col("quantity_on_tag") - F.col("quantity_committed_on_tag")
+
+
+def _held(flag: str) -> Column:
+    return ~F.col(flag) & (F.col("location_type_id") != 100)
+
+
+# kind: tag amount, location condition. All of them count stock tags only.
+_TAG_KINDS: dict[str, tuple[Callable[[], Column], Callable[[], Column]]] = {
+    "on_hand": (lambda: F.col("quantity_on_tag"), lambda: F.lit(True)),
+    "not_available": (_free, lambda: _held("is_counted_as_available")),
+    "not_available_to_pick": (_free, lambda: _held("is_pickable")),
+}
+
+
+def _placed_tags(t: Tables) -> DataFrame:
     tags = t["fishbowl_tag"].select("part_id", "location_id", "tag_type_id", "quantity_on_tag", "quantity_committed_on_tag")
     places = t["fishbowl_location"].select(
         "location_id", "location_group_id", "location_type_id", "is_pickable", "is_counted_as_available"
     )
-    return (
-        tags.join(places, "location_id").filter(keep)
-        .groupBy(*GROUP).agg(F.coalesce(F.sum(amount), F.lit(0)).alias(out))
-    )
+    return tags.join(places, "location_id")
 
 
-def _stock_tags() -> Column:
-    return F.col("tag_type_id").isin(30, 40)
+def stock_tags(t: Tables, kinds: Sequence[str] = tuple(_TAG_KINDS)) -> DataFrame:
+    """Tag quantities as (kind, part, location group, quantity), from one join."""
+    parts = F.array(*[
+        F.struct(F.lit(k).alias("kind"), _TAG_KINDS[k][0]().alias("quantity"), _TAG_KINDS[k][1]().alias("hit")) for k in kinds
+    ])
+    stock = _placed_tags(t).filter(F.col("tag_type_id").isin(30, 40))
+    return stock.select(*GROUP, F.inline(F.filter(parts, lambda p: p["hit"]))).groupBy("kind", *GROUP).agg(
+        F.sum("quantity").alias("quantity")
+    )
 
 
-def _free() -> Column:
-    return F.col("quantity_on_tag") - F.col("quantity_committed_on_tag")
+def _tag_total(t: Tables, kind: str) -> DataFrame:
+    return stock_tags(t, [kind]).select(*GROUP, F.coalesce("quantity", F.lit(0)).alias("quantity_" + kind))
 
 
 def on_hand(t: Tables) -> DataFrame:
-    return tag_quantity(t, F.col("quantity_on_tag"), _stock_tags(), "quantity_on_hand")
+    return _tag_total(t, "on_hand")
 
 
 def not_available(t: Tables) -> DataFrame:
-    keep = _stock_tags() & ~F.col("is_counted_as_available") & (F.col("location_type_id") != 100)
-    return tag_quantity(t, _free(), keep, "quantity_not_available")
+    return _tag_total(t, "not_available")
 
 
 def not_available_to_pick(t: Tables) -> DataFrame:
-    keep = _stock_tags() & ~F.col("is_pickable") & (F.col("location_type_id") != 100)
-    return tag_quantity(t, _free(), keep, "quantity_not_available_to_pick")
+    return _tag_total(t, "not_available_to_pick")
 
 
 def committed(t: Tables) -> DataFrame:
-    return tag_quantity(t, F.col("quantity_committed_on_tag"), F.lit(True), "quantity_committed")
+    """Committed stock on tags of every type."""
+    return _placed_tags(t).groupBy(*GROUP).agg(F.coalesce(F.sum("quantity_committed_on_tag"), F.lit(0)).alias("quantity_committed"))
 
 
 _ALLOCATED = ("allocated_so", "allocated_po", "allocated_to_send", "allocated_to_receive", "allocated_mo")
 _ON_ORDER = ("on_order_so", "on_order_po", "on_order_to_send", "on_order_to_receive", "on_order_mo")
 
 
-def _kinds(t: Tables, names: Sequence[str]) -> DataFrame:
-    frames = {n: line_quantity(t, n).withColumnRenamed(LINE_QUANTITIES[n].out, "quantity") for n in names}
-    return labelled_stack(frames, "kind", [*GROUP, "quantity"])
-
-
 def _total(t: Tables, names: Sequence[str], out: str) -> DataFrame:
-    return _kinds(t, names).groupBy(*GROUP).agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias(out))
+    return in_part_units(t, open_lines(t, names)).groupBy(*GROUP).agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias(out))
 
 
 def allocated(t: Tables) -> DataFrame:
@@ -206,15 +247,11 @@ def quantities(t: Tables) -> DataFrame:
     The overall allocated total is not a column here, and a part and group known
     to it is known to one of its branches, so it is left out of the union.
     """
-    tags = {
-        "on_hand": on_hand(t).withColumnRenamed("quantity_on_hand", "quantity"),
-        "not_available": not_available(t).withColumnRenamed("quantity_not_available", "quantity"),
-        "not_available_to_pick": not_available_to_pick(t).withColumnRenamed("quantity_not_available_to_pick", "quantity"),
-    }
-    lines = _kinds(t, list(LINE_QUANTITIES))
-    everything = labelled_stack(tags, "kind", [*GROUP, "quantity"]).unionByName(lines)
+    lines = in_part_units(t, open_lines(t, list(LINE_QUANTITIES)))
+    tags = stock_tags(t)
+    everything = lines.unionByName(tags)
     wide = pivot_sum(everything, GROUP, "kind", "quantity", {
-        **{k: "quantity_" + k for k in tags}, **{k: "quantity_" + k for k in LINE_QUANTITIES},
+        **{k: "quantity_" + k for k in _TAG_KINDS}, **{k: "quantity_" + k for k in LINE_QUANTITIES},
     })
     return wide.select(
         *GROUP, "quantity_on_hand", "quantity_allocated_po", "quantity_allocated_so", "quantity_allocated_mo",

@@ -13,33 +13,36 @@ from stocktally.plans.costs import shipment_costs
 from stocktally.sources.tables import Tables
 
 
-def recent_lead_time(
-    rows: DataFrame, keys: Sequence[str], started: str, received: str, n: int, out: str, tiebreak: Sequence[str] = (),
+def with_lead_times(
+    rows: DataFrame, vendor: str, part: str, started: str, received: str, n: int, tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean days from start to receipt over the newest n receipts of a key, rounded up."""
-    known = rows.filter(F.col(received).isNotNull() & F.col(started).isNotNull())
+    """Lead time by vendor and part, by vendor, by part, and the most precise of them.
+
+    A lead time is the mean number of days from start to receipt over the newest n
+    receipts, rounded up. The newest receipts of a vendor, and of a part, are among
+    the newest of its vendor-part pairs, so all three levels are ranked on that
+    reduced set.
+    """
     order = [F.col(received).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in tiebreak]]
-    newest = top_per_key(known.select(*keys, started, received, *tiebreak), keys, order, n)
-    return newest.groupBy(*keys).agg(F.ceil(F.avg(F.datediff(received, started))).alias(out))
+    known = rows.filter(F.col(received).isNotNull() & F.col(started).isNotNull()).select(vendor, part, started, received, *tiebreak)
+    newest = top_per_key(known, [vendor, part], order, n)
 
+    def level(keys: Sequence[str], out: str) -> DataFrame:
+        top = newest if len(keys) == 2 else top_per_key(newest, keys, order, n)
+        return top.groupBy(*keys).agg(F.ceil(F.avg(F.datediff(received, started))).alias(out))
 
-def with_lead_times(
-    rows: DataFrame, vendor: str, part: str, started: str, received: str, n: int, tiebreak: Sequence[str] = (),
-) -> DataFrame:
-    """Lead time by vendor and part, by vendor, by part, and the most precise of them."""
-    levels = {
-        "vendor_product_leadtime": [vendor, part], "vendor_lead_time": [vendor], "product_leadtime": [part],
-    }
     result = rows
-    for out, keys in levels.items():
-        result = result.join(recent_lead_time(rows, keys, started, received, n, out, tiebreak), keys, "left")
+    for out, keys in {
+        "vendor_product_leadtime": [vendor, part], "vendor_lead_time": [vendor], "product_leadtime": [part],
+    }.items():
+        result = result.join(level(keys, out), keys, "left")
     return result.withColumn(
         "precise_leadtime", F.coalesce("vendor_product_leadtime", "vendor_lead_time", "product_leadtime")
     )
 
 
-def purchase_receipts(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
-    """One row per received or expected purchase line."""
+def receipt_lines(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
+    """Received or expected purchase lines with the receipt before them."""
     heads = t["fishbowl_receipt"].filter(F.col("order_type_id") == cfg.receipt_order_type_id).select(
         "receipt_id", "location_group_id"
     )
@@ -63,14 +66,18 @@ def purchase_receipts(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
     ).join(heads, "receipt_id")
     stepped = previous_value(received, ["po_item_id"], "datereceived", "datereceived", "__prior", ["receipt_item_id"])
     qty = uom_convert("quantity_received", "uom_id", "default_uom_id", "multiply_factor", "factor", zero_factor_as_one=True)
-    base = (
+    return (
         stepped.join(po_items, "po_item_id", "left").join(parts, "part_id", "left")
         .join(conversions, ["default_uom_id", "uom_id"], "left")
         .withColumn("qty", F.coalesce(qty, F.lit(0)))
         .withColumn("last_date_prior_to_received", F.coalesce("__prior", "po_created_at"))
     )
+
+
+def purchase_receipts(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
+    """One row per received or expected purchase line, with lead times."""
     timed = with_lead_times(
-        base, "vendor_id", "part_number", "last_date_prior_to_received", "datereceived",
+        t["int_receipt_lines"], "vendor_id", "part_number", "last_date_prior_to_received", "datereceived",
         cfg.lead_time_rank_limit, ["receipt_item_id"],
     )
     expected = F.col("last_date_prior_to_received") + F.make_dt_interval(F.col("precise_leadtime").cast("int"))
@@ -257,4 +264,4 @@ def vendor_lead_by_series(t: Tables) -> DataFrame:
 
 
 def builders(cfg: RetailConfig = DEFAULT) -> dict:
-    return {"f_pos": lambda t: purchase_receipts(t, cfg), "f_shippment": lambda t: shipments(t, cfg)}
+    return {"int_receipt_lines": lambda t: receipt_lines(t, cfg), "f_pos": lambda t: purchase_receipts(t, cfg), "f_shippment": lambda t: shipments(t, cfg)}

@@ -59,7 +59,7 @@ def shop_items(t: Tables, cfg: RetailConfig = DEFAULT, order_ids: DataFrame | No
         F.col("order_address_id").alias("billing_address_id"), "postcode", F.col("country_code").alias("country"),
         "region", "city", F.col("street_address").alias("street"), F.col("phone_number").alias("telephone"),
     )
-    costs = t["int_fishbowl_order_cost"].drop("order_id", "magento_product_id", "order_cost", "order_cost_average")
+    costs = t["int_item_costs"].drop("order_id", "magento_product_id")
     freight = t["int_magento_order_freight"].select("order_id", "net_sales", "freight_amount", "total_weight", "product_count")
     pieces = t["int_magento_product_conversion"].select(F.col("item_id").alias("order_item_id"), "part_qty_sold", "conversion")
 
@@ -92,8 +92,9 @@ def shop_items(t: Tables, cfg: RetailConfig = DEFAULT, order_ids: DataFrame | No
 def shop_sales(t: Tables, cfg: RetailConfig = DEFAULT, order_ids: DataFrame | None = None) -> DataFrame:
     """Shop branch of the sales table: simple items carry their parent's measures."""
     measures = ["row_total", "cost", "qty_ordered", "part_qty_sold", "freight_revenue", "freight_cost"]
+    items = t["int_shop_items"] if order_ids is None else shop_items(t, cfg, order_ids)
     resolved = inherit_from_parent(
-        shop_items(t, cfg, order_ids), "order_item_id", "parent_item_id",
+        items, "order_item_id", "parent_item_id",
         F.col("product_type") == "configurable", measures,
     ).filter(F.col("product_type") != "configurable")
     fallback = t["int_sales_cost_fallback"]
@@ -250,6 +251,7 @@ def daily_by_caliber(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
 
 def builders(cfg: RetailConfig = DEFAULT) -> dict:
     return {
+        "int_shop_items": lambda t: shop_items(t, cfg),
         "int_fishbowl_gunbroker_sales": lambda t: marketplace_sales(t, cfg),
         "f_sales": lambda t: sales(t, cfg),
         "int_daily_sales_metrics": lambda t: daily_metrics(active(t["f_sales"], cfg)),

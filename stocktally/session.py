@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,18 +37,27 @@ def build_session(app: str = "stocktally", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the one named by spark.checkpoint.dir.
 
     Only a local session without that setting falls back to a temporary folder.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="stocktally-checkpoint-")
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="stocktally-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write a result to the shared folder once and read it back.
+
+    Later readers scan columns of the files instead of repeating the work, also after
+    an executor is lost, and the planner sees real sizes when it picks joins.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
+from stocktally.session import cut_lineage
+
 Builder = Callable[["Tables"], DataFrame]
 
 
@@ -37,5 +39,14 @@ class Tables(Mapping[str, DataFrame]):
         """Replace a table, for example by its materialized copy."""
         self._frames[name] = frame
 
+    def stored(self, names: Iterable[str]) -> "Tables":
+        """The same set with the named tables written once, on first use."""
+        cuts = {n: _stored(n, self._builders[n]) for n in names if n in self._builders}
+        return Tables({**self._builders, **cuts}, self._frames)
+
     def extended(self, builders: Mapping[str, Builder]) -> "Tables":
         return Tables({**self._builders, **builders}, self._frames)
+
+
+def _stored(name: str, builder: Builder) -> Builder:
+    return lambda tables: cut_lineage(builder(tables), name)

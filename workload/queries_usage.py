@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stocktally.operators.cdc import cdc_latest
 from stocktally.plans import quality, usage
+from stocktally.session import shared_folder
 from stocktally.sources import sinks
 from stocktally.streaming import live
 from workload.registry import add
@@ -223,14 +224,8 @@ add("quality_report", lambda t: quality.report(t["lineitem"], [
 
 
 def _scratch(spark, name: str) -> str:
-    """A new folder next to the shared checkpoint folder, or a local one in local mode."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix=f"stocktally-{name}-")
-    token = spark._jvm.java.util.UUID.randomUUID().toString()
-    return f"{base}/{name}-{token}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _merge_orders(t):

@@ -12,7 +12,7 @@ from stocktally.config import DEFAULT
 from stocktally.operators.cdc import cdc_latest
 from stocktally.operators.identity import customer_identity
 from stocktally.plans.build import gold_builders
-from stocktally.session import cut_lineage, tune
+from stocktally.session import tune
 from stocktally.sources.tables import Tables
 from workload.retail_views import BASE, VIEWS
 
@@ -40,26 +40,27 @@ def items(t: Tables) -> DataFrame:
     return cdc_latest(t["item_log"], ["l_orderkey", "l_linenumber"], order)
 
 
-# Written once per session and folder: models that many others read.
-SHARED = ("magento_d_customerupdated", "f_sales", "d_product", "f_pos", "inventory_qtyinventory")
-_CACHE: dict[tuple[str, str], Tables] = {}
+# Written once per session and folder: the cleaned lines and the models many others read.
+STORED = (
+    "items", "order_lines", "inventory_qtyinventory", "int_item_costs", "int_magento_order_freight", "int_magento_product_eav_lookups",
+    "int_sales_cost_fallback", "int_shop_items", "int_receipt_lines", "d_product", "f_sales", "f_pos",
+)
+_SETS: dict[tuple[str, str], Tables] = {}
 
 
-def plain_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All derived and modelled tables, nothing materialized but the customer ids."""
+def new_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """All derived and modelled tables over one folder, nothing built yet."""
     tune(spark)
     frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in BASE}
     builders = {name: _view(name) for name in VIEWS}
     builders |= {"items": items, **gold_builders(CFG, AS_OF)}
     builders["magento_d_customerupdated"] = lambda t: customer_identity(t["magento_sales_order"], "customer_email", CFG.default_customer_email)
-    return Tables(builders, frames)
+    return Tables(builders, frames).stored(STORED)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Like plain_tables, with the widely read models cut off at a checkpoint."""
+    """The tables of a folder, shared by all queries of a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CACHE:
-        made = plain_tables(spark, sf_dir)
-        wrapped = {n: (lambda t, b=made._builders[n]: cut_lineage(b(t))) for n in SHARED if n != "magento_d_customerupdated"}
-        _CACHE[key] = made.extended(wrapped)
-    return _CACHE[key]
+    if key not in _SETS:
+        _SETS[key] = new_tables(spark, sf_dir)
+    return _SETS[key]
