@@ -46,7 +46,8 @@ def _erp_item_costs(t: Tables, cfg: RetailConfig) -> DataFrame:
         .join(to_base, "uom_id", "left")
         .select("product_id", F.coalesce(F.col("average_cost") * F.col("multiply_factor"), F.col("average_cost")).alias("unit_weighted"))
     )
-    priced = lines.join(weighted, "product_id", "left")
+    # Product facts are joined to each other first and to the lines once.
+    priced = lines.join(weighted.join(product_link, "product_id", "full_outer"), "product_id", "left")
 
     kit_links = t["fishbowl_objecttoobject"].filter(F.col("relationship_type_id") == cfg.kit_relationship_type_id).select(
         F.col("object1_record_id").alias("so_item_id"), F.col("object2_record_id").alias("kit_item")
@@ -68,7 +69,7 @@ def _erp_item_costs(t: Tables, cfg: RetailConfig) -> DataFrame:
         )
     )
     return (
-        priced.join(line_link, "so_item_id", "left").join(product_link, "product_id", "left").join(kits, "so_item_id", "left")
+        priced.join(line_link, "so_item_id", "left").join(kits, "so_item_id", "left")
         .select(
             F.coalesce("own_link", "plugin_link").alias("shop_item"), "shop_product",
             F.when(F.col("total_cost") == 0, F.col("kit_cost")).otherwise(F.col("total_cost")).alias("cost"),
@@ -227,14 +228,19 @@ def product_conversion(t: Tables, cfg: RetailConfig = DEFAULT, reference_key: bo
         F.col("from_uom_id").cast("bigint").alias("conversion_key"), "multiply_factor"
     )
     multiply = F.coalesce("multiply_factor", F.lit(1))
+    # The pieces of a product are settled before the items come in.
+    per_product = (
+        catalog.join(erp, "sku").withColumn("conversion_key", F.col("product_id" if reference_key else "uom_id").cast("bigint"))
+        .join(to_base, "conversion_key", "left")
+        .groupBy("product_id", "sku").agg(F.sum(multiply).alias("pieces"), F.count(F.lit(1)).alias("matches"))
+    )
     return (
         t["magento_sales_order_item"].filter((F.col("product_type") != "bundle") & (F.col("row_total") != 0))
         .select(F.col("order_item_id").alias("item_id"), "order_id", "product_id", "quantity_ordered")
-        .join(orders, "order_id").join(catalog, "product_id").join(erp, "sku")
-        .withColumn("conversion_key", F.col("product_id" if reference_key else "uom_id").cast("bigint"))
-        .join(to_base, "conversion_key", "left")
+        .join(orders, "order_id", "left_semi").join(per_product, "product_id")
         .groupBy("item_id", "sku").agg(
-            F.sum(F.col("quantity_ordered") * multiply).alias("part_qty_sold"), F.avg(multiply).alias("conversion")
+            F.sum(F.col("quantity_ordered") * F.col("pieces")).alias("part_qty_sold"),
+            (F.sum("pieces") / F.sum("matches")).alias("conversion"),
         )
     )
 

@@ -9,7 +9,7 @@ from stocktally.functions.scalars import (
     channel, clock_text, normalized_email, safe_div, trunc_ntz, wall_clock, within_days,
 )
 from stocktally.operators.aggregates import margin_pct
-from stocktally.operators.joins import groups_with_history, inherit_from_parent, without_groups
+from stocktally.operators.joins import groups_with_history, inherit_from_parent, with_scalar_row, without_groups
 from stocktally.plans.costs import item_cost, net_row_total, shipment_costs
 from stocktally.sources.tables import Tables
 
@@ -25,8 +25,7 @@ SALES_LABELS = {"hour_start": "Início da Hora - Copiar", "hour_text": "Início
 
 
 def _with_rank(df: DataFrame, t: Tables, cfg: RetailConfig) -> DataFrame:
-    """Customer ids by email. The stand-in email for unknown customers is one hot
-    value; the plan leaves the skewed side to adaptive splitting."""
+    """Customer ids by normalized email."""
     ids = t["magento_d_customerupdated"].select(F.col("customer_email").alias("__email"), "rank_id")
     return df.withColumn("__email", normalized_email("customer_email", cfg.default_customer_email)).join(
         ids, "__email", "left"
@@ -50,24 +49,28 @@ def shop_items(t: Tables, cfg: RetailConfig = DEFAULT, order_ids: DataFrame | No
         F.when(F.col("row_total") != 0, F.col("quantity_ordered")).otherwise(0).alias("ordered"),
         "quantity_ordered", net_row_total().alias("row_total"),
     )
+    # Everything known per order is put together at order level, so the wide item
+    # rows move once for it. The stand-in email of unknown customers is one hot
+    # value; it is looked up there too, on narrow rows that adaptive joins can split.
+    address = t["magento_sales_order_address"].select(
+        F.col("order_address_id").alias("billing_address_id"), "postcode", F.col("country_code").alias("country"),
+        "region", "city", F.col("street_address").alias("street"), F.col("phone_number").alias("telephone"),
+    )
+    freight = t["int_magento_order_freight"].select("order_id", "net_sales", "freight_amount", "total_weight", "product_count")
     orders = t["magento_sales_order"].select(
         "order_id", F.col("order_increment_id").alias("increment_id"), "billing_address_id", "customer_email",
         F.concat("customer_firstname", F.lit(" "), "customer_lastname").alias("customer_name"),
         F.upper("order_status").alias("status"), "customer_id",
     )
-    address = t["magento_sales_order_address"].select(
-        F.col("order_address_id").alias("billing_address_id"), "postcode", F.col("country_code").alias("country"),
-        "region", "city", F.col("street_address").alias("street"), F.col("phone_number").alias("telephone"),
-    )
+    orders = _with_rank(orders, t, cfg).join(address, "billing_address_id", "left").join(freight, "order_id", "left")
+    orders = orders.withColumn("__known", F.lit(True))
     costs = t["int_item_costs"].drop("order_id", "magento_product_id")
-    freight = t["int_magento_order_freight"].select("order_id", "net_sales", "freight_amount", "total_weight", "product_count")
     pieces = t["int_magento_product_conversion"].select(F.col("item_id").alias("order_item_id"), "part_qty_sold", "conversion")
-
-    rows = (
-        items.join(costs, "order_item_id", "left").join(pieces, "order_item_id", "left")
-        .join(orders, "order_id", "left").join(freight, "order_id", "left")
-        .join(address, "billing_address_id", "left")
-    )
+    rows = items.join(costs, "order_item_id", "left").join(pieces, "order_item_id", "left").join(orders, "order_id", "left")
+    # An item without its order counts for the unknown customer.
+    unknown = t["magento_d_customerupdated"].filter(F.col("customer_email") == cfg.default_customer_email.lower())
+    rows = with_scalar_row(rows, unknown.agg(F.max("rank_id").alias("__unknown")))
+    rows = rows.withColumn("rank_id", F.when(F.col("__known"), F.col("rank_id")).otherwise(F.col("__unknown"))).drop("__known", "__unknown")
     qty = F.when(F.col("row_total") == 0, 0).otherwise(F.col("ordered"))
     # Without order weight, freight is spread evenly over the items; the padded
     # protection SKU never takes an even share.
@@ -98,7 +101,7 @@ def shop_sales(t: Tables, cfg: RetailConfig = DEFAULT, order_ids: DataFrame | No
         F.col("product_type") == "configurable", measures,
     ).filter(F.col("product_type") != "configurable")
     fallback = t["int_sales_cost_fallback"]
-    rows = _with_rank(resolved.join(fallback, "product_id", "left"), t, cfg)
+    rows = resolved.join(fallback, "product_id", "left")
     return rows.select(
         F.col("timedate").cast("date").alias("created_at"), "timedate", F.col("order_item_id").alias("id"), "increment_id",
         trunc_ntz("hour", "timedate").alias("hour_start"), "product_id", "order_id", F.col("timedate").alias("trickat"),
@@ -140,14 +143,11 @@ def marketplace_sales(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
     units = t["fishbowl_product"].select(F.col("product_id").alias("erp_product"), "uom_id").join(to_base, "uom_id", "left").select(
         "erp_product", F.coalesce("multiply_factor", F.lit(1)).alias("unit_pieces")
     )
-    own = items.join(orders, "sales_order_id")
+    own = items.join(_with_rank(orders, t, cfg), "sales_order_id")
     per_order = own.groupBy("sales_order_id").agg(F.sum("row_total").alias("order_total"), F.count(F.lit(1)).alias("order_lines"))
     freight = shipment_costs(t, ("sales_order_id",), "freight_amount").select("sales_order_id", F.col("freight_amount").alias("order_freight"))
-    rows = _with_rank(
-        own.join(per_order.join(freight, "sales_order_id", "left"), "sales_order_id")
-        .join(links, "erp_product", "left").join(units, "erp_product", "left"),
-        t, cfg,
-    )
+    products = units.join(links, "erp_product", "full_outer")
+    rows = own.join(per_order.join(freight, "sales_order_id", "left"), "sales_order_id").join(products, "erp_product", "left")
     status = F.col("order_status")
     by_revenue = F.col("order_freight") * (F.col("row_total") / F.nullif(F.col("order_total"), F.lit(0)))
     pieces = F.coalesce("unit_pieces", F.lit(1))
