@@ -79,7 +79,7 @@ def model(spark):
         "fishbowl.shipcarton": landing(spark, "id long, shipid long, trackingnum string, freightamount double, freightweight double", [(81, 71, "T1", 99.0, 3.0), (82, 72, "T2", 6.0, 3.0)]),
         "ups.ups_invoice": spark.createDataFrame([("T1", 3.0), ("T1", 1.0)], "tracking_number string, net_amount double"),
     }
-    return build.model(frames, {})
+    return build.model(frames, {}).stored(build.SHARED)
 
 
 def test_sales_rows(model):
