@@ -69,7 +69,7 @@ def sales_facts(t: Tables, start: str, end: str, statuses: Sequence[str] | None
         "created_at", "timedate", F.hour("timedate").alias("hour_num"), F.col("increment_id").alias("order_id"),
         "customer_email", "customer_name", "store_id", "storefront", "status", F.col("row_total").alias("net_sales"), "cost",
         "qty_ordered", "freight_revenue", "freight_cost", "product_id", F.col("testsku").alias("sku"),
-        F.coalesce("part_qty_sold", "qty_ordered").cast("int").alias("units"),
+        F.round(F.coalesce("part_qty_sold", "qty_ordered")).cast("int").alias("units"),
         F.coalesce("region", zip_state("postcode")).alias("region"), "city", "postcode",
     ).join(products, "product_id", "left")
 

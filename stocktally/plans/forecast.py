@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stocktally.functions.scalars import normal_cdf, safe_div
 from stocktally.operators.windows import first_per_key
@@ -174,8 +174,9 @@ def project_inventory(
     on_hand(keys, qty), arrivals(keys, day, qty), daily_rate(keys, rate). One row per
     key and day of the span; stockout_date is the first day at zero.
     """
-    from pyspark.sql import Window
-
+    if not keys:
+        whole = project_inventory(*[f.withColumn("__all", F.lit(1)) for f in (on_hand, arrivals, daily_rate)], ["__all"], start, end)
+        return whole.drop("__all")
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
     grid = on_hand.withColumnRenamed("qty", "on_hand").withColumn("day", F.explode(days))
     landed = arrivals.groupBy(*keys, "day").agg(F.sum("qty").alias("arrived"))
@@ -184,10 +185,10 @@ def project_inventory(
         "arrived": F.coalesce(F.col("arrived").cast("double"), F.lit(0.0)), "rate": F.coalesce(F.col("rate").cast("double"), F.lit(0.0)),
     })
     # A window holds the days of the span for one key.
-    along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    along = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     running = F.col("on_hand").cast("double") + F.sum(F.col("arrived") - F.col("rate")).over(along)
     projected = rows.withColumn("projected_qty", F.greatest(running, F.lit(0.0)))
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    whole = Window.partitionBy(*keys)
     return projected.withColumn(
         "stockout_date", F.min(F.when(F.col("projected_qty") <= 0, F.col("day"))).over(whole)
     ).select(*keys, "day", "arrived", "projected_qty", "stockout_date")

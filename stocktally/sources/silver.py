@@ -194,6 +194,15 @@ SHOP: dict[str, Clean] = {
     "magento_ups_invoice": Clean("ups_invoice", None, keep=("tracking_number", "net_amount"), tombstones=False),
 }
 
+# Models that carry the change-log position along, and its columns.
+LOG_COLUMNS = ("_ab_cdc_cursor", "_ab_cdc_log_pos", "_ab_cdc_log_file", "_ab_cdc_updated_at")
+KEEPS_LOG = frozenset("""
+fishbowl_inventorylog fishbowl_kititem fishbowl_parttotracking fishbowl_parttracking fishbowl_po fishbowl_poitem
+fishbowl_post fishbowl_postpo fishbowl_postpoitem fishbowl_receipt fishbowl_receiptitem fishbowl_serial
+fishbowl_serialnum fishbowl_wo fishbowl_woitem fishbowl_xo fishbowl_xoitem magento_customer_entity
+magento_quote_address magento_quote_address_item
+""".split())
+
 # (source system, landing table) of every cleaned table.
 LANDING = {
     **{m: ("fishbowl", c.source) for m, c in ERP.items()},
@@ -216,6 +225,9 @@ def output_names(model: str, columns: list[str]) -> tuple[dict[str, str], tuple[
     flags = [c for c in spec.flags if spec.cast_flags]
     for column in columns:
         low = column.lower()
+        if model in KEEPS_LOG and low in LOG_COLUMNS:
+            names[column] = low
+            continue
         if low in METADATA or (spec.keep and low not in spec.keep):
             continue
         if spec.keep:

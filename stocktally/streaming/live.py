@@ -4,26 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stocktally.operators.cdc import cdc_latest
+from stocktally.operators.windows import first_per_key
 from stocktally.sources.sinks import merge_by_key
 
 
 def cdc_stream_upsert(
     stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
-    clean: Callable[[DataFrame], DataFrame] | None = None, partition_by: str | None = None, once: bool = True,
+    clean: Callable[[DataFrame], DataFrame] | None = None, newest_first: Callable[[], Sequence[Column]] | None = None,
+    partition_by: str | None = None, once: bool = True,
 ) -> StreamingQuery:
     """Upsert newly arriving change records into a parquet table.
 
-    A batch is reduced to one row per key before it meets the table. Replaying a
-    batch after a failure writes the same rows again, so the result does not change.
+    A batch is cleaned to one row per key before it meets the table. With
+    `newest_first` the stored rows of the batch's keys take part in that choice, so
+    a late, older record never replaces a newer one. Replaying a batch after a
+    failure writes the same rows again, so the result does not change.
     """
-    reduce = clean or (lambda batch: cdc_latest(batch, keys))
-
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        merge_by_key(batch.sparkSession, path, reduce(batch), keys, partition_by)
+        rows = clean(batch) if clean else cdc_latest(batch, keys, newest_first and newest_first())
+        if newest_first:
+            try:
+                stored = batch.sparkSession.read.parquet(path)
+            except AnalysisException:
+                stored = None  # before the first batch
+            if stored is not None:
+                known = stored.join(rows.select(*keys).distinct(), list(keys), "left_semi")
+                rows = first_per_key(rows.unionByName(known), keys, newest_first())
+        merge_by_key(batch.sparkSession, path, rows, keys, partition_by)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

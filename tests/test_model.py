@@ -153,3 +153,26 @@ def test_single_day_series_has_no_trend(spark):
     one = spark.createDataFrame([("a", "2024-01-01", 5.0)], "s string, d string, y double").withColumn("d", F.col("d").cast("date"))
     got = forecast.forecast(one, ["s"], "d", "y", 2).collect()
     assert [(r.predicted_units, r.lower_bound) for r in got] == [(5.0, 5.0), (5.0, 5.0)]
+
+
+def test_projection_of_the_whole_stock(spark):
+    stock = spark.createDataFrame([(10.0,)], "qty double")
+    coming = spark.createDataFrame([("2024-01-03", 5.0)], "d string, qty double").select(F.col("d").cast("date").alias("day"), "qty")
+    rate = spark.createDataFrame([(4.0,)], "rate double")
+    got = forecast.project_inventory(stock, coming, rate, [], "2024-01-01", "2024-01-05").orderBy("day").collect()
+    assert [r.projected_qty for r in got] == [6.0, 2.0, 3.0, 0.0, 0.0]
+    assert {r.stockout_date for r in got} == {dt.date(2024, 1, 4)}
+
+
+def test_stream_keeps_the_newer_record(spark, rows):
+    import uuid
+
+    from stocktally.streaming.live import cdc_stream_upsert
+
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    newest = lambda: [F.col("t").desc()]
+    for batch in ([(1, 10, "new"), (2, 1, "a")], [(1, 5, "older"), (2, 2, "b")]):
+        spark.createDataFrame(batch, "k int, t int, v string").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema("k int, t int, v string").parquet(f"{root}/in")
+        cdc_stream_upsert(stream, f"{root}/out", ["k"], f"{root}/check", newest_first=newest).awaitTermination()
+    assert rows(spark.read.parquet(f"{root}/out"), "k", "v") == [(1, "new"), (2, "b")]

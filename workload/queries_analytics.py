@@ -147,7 +147,7 @@ add("project_inventory", _projection,
 
 # --- dashboard -----------------------------------------------------------------------
 _START, _END = "2000-07-01", AS_OF
-M["facts"] = f"""select s.*, hour(s.timedate) as hour_num, s.increment_id as order_no, cast(trunc(s.part_qty_sold) as int) as units, p.vendor as product_vendor, p.attribute_set as category,
+M["facts"] = f"""select s.*, hour(s.timedate) as hour_num, s.increment_id as order_no, cast(round(s.part_qty_sold) as int) as units, p.vendor as product_vendor, p.attribute_set as category,
  p.manufacturer, coalesce(p.dd_caliber, p.caliber) as caliber, p.manufacturer_sku, p.product_name, p.use_type_category, p.primary_category
  from {{active_sales}} s left join {{d_product}} p using (product_id) where s.created_at between date '{_START}' and date '{_END}'"""
 

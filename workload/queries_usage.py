@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from stocktally.operators.cdc import cdc_latest
 from stocktally.plans import quality, usage
 from stocktally.session import shared_folder
 from stocktally.sources import sinks
@@ -281,17 +279,9 @@ def _event_stream(t):
 
 def _stream_upsert(t):
     spark, stream, folder = _event_stream(t)
-    newest = lambda batch: cdc_latest(batch, ["user_id"], [F.desc("ts"), F.desc("event_id")])
-
-    def keep_newest(batch):
-        """A later batch may hold older records than the table does."""
-        try:
-            known = spark.read.parquet(folder + "-out").join(batch.select("user_id").distinct(), "user_id", "left_semi")
-            return newest(batch.unionByName(known))
-        except AnalysisException:  # the table does not exist before the first batch
-            return newest(batch)
-
-    live.cdc_stream_upsert(stream, folder + "-out", ["user_id"], folder + "-check", keep_newest).awaitTermination()
+    live.cdc_stream_upsert(
+        stream, folder + "-out", ["user_id"], folder + "-check", newest_first=lambda: [F.desc("ts"), F.desc("event_id")]
+    ).awaitTermination()
     return spark.read.parquet(folder + "-out").select("user_id", "event_id", "ts")
 
 
