@@ -113,7 +113,7 @@ def logits(model: LanguageModel, cells: list[bytes]) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, label: str, folds: int, held_out: int, per_language: int, dims: int, epochs: int, rate: float, lost: float) -> LanguageModel:
+def fit(docs: DataFrame, label: str, folds: int, held_out: int, per_language: int, dims: int, epochs: int, rate: float, lost: float, bound: float) -> LanguageModel:
     calibration = (held_out + 1) % folds
     rows = (
         docs.select(F.col("doc_id"), F.col("text").alias("__text"), F.col(label).alias("__label"))
@@ -143,24 +143,24 @@ def fit(docs: DataFrame, label: str, folds: int, held_out: int, per_language: in
         loss = [-np.log(np.maximum(softmax(z / t)[truth], 1e-12)).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
         best = softmax(z / model.temperature).max(1)
-        model.least = float(min(0.5, np.quantile(best, lost)))
+        model.least = float(min(bound, np.quantile(best, lost)))
     return model
 
 
 def identify_language(
     docs: DataFrame, *, label: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 800, dims: int = 16,
-    epochs: int = 6, rate: float = 0.5, lost: float = 0.001, keep: list[str] | None = None,
+    epochs: int = 6, rate: float = 0.5, lost: float = 0.001, bound: float = 0.5, keep: list[str] | None = None,
 ) -> DataFrame:
     """docs with held_out, lang_pred, score and accepted.
 
     The model is fitted in the driver on subword counts of at most about `per_language` documents of each value of
     `label` outside the held-out fold; a quarter of the folds sets the temperature and the rejection bound, the
-    smaller of 0.5 and the `lost` quantile of its confidences. Every document is scored from its whole text.
+    smaller of `bound` and the `lost` quantile of its confidences. Every document is scored from its whole text.
     A null text or one without a letter gets `und`, score 0, accepted false; others get the likeliest language and
     its calibrated probability, accepted if it reaches the bound. With one language only, all get it with score 1;
     with none to learn from, `und`. Copies get the same answer. Input columns of the new names are replaced.
     """
-    model = fit(docs, label, folds, held_out, per_language, dims, epochs, rate, lost)
+    model = fit(docs, label, folds, held_out, per_language, dims, epochs, rate, lost, bound)
     shared = Shared(docs.sparkSession, model)
 
     def compute(texts):
@@ -182,5 +182,5 @@ def identify_language(
         return [names, scores, accepted]
 
     scored = with_columns(docs, "text", "lang_pred string, score double, accepted boolean", compute, keep=None if keep is None else list({*keep, "doc_id"}))
-    out = scored.withColumn("held_out", fold_of(F.col("doc_id"), folds) == held_out)
+    out = scored.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)))
     return out if keep is None else out.select(*keep, "held_out", "lang_pred", "score", "accepted")

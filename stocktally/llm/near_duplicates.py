@@ -31,7 +31,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     token = mix64(word_hashes(words.distinct))[words.ids]
     n = len(token)
     rolled = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         rolled[: n - k] = rolled[: n - k] * np.uint64(0x9E3779B97F4A7C15) + token[k:]
     rolled = mix64(rolled)
     out = []

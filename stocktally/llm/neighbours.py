@@ -194,11 +194,11 @@ def nearest(
     met is compared exactly, on the original vectors in double precision. Buckets of any size are searched whole, in
     blocks of about `block` rows. A query that has met fewer than k rows is compared with all rows.
 
-    Vectors that are null, empty, zero, of another length than most, or that hold null or non-finite parts take no
+    Rows without an id and vectors that are null, empty, zero, of another length than most, or that hold null or non-finite parts take no
     part. Of several rows with one id the best counts; a query's own id is never its neighbour. Ties go to smaller
     ids. An empty table gives an empty result. Other columns are ignored.
     """
-    good = vectors.filter(valid(vector)).withColumn("__asks", is_query)
+    good = vectors.filter(valid(vector) & F.col(key).isNotNull()).withColumn("__asks", is_query)
     lengths = good.groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     dims = lengths[0]["n"] if lengths else 1
     good = good.filter(F.size(vector) == dims).select(

@@ -139,5 +139,5 @@ def classify_quality(
         return [score, (score >= threshold).astype(np.int32)]
 
     scored = with_columns(docs, "text", "score double, predicted int", compute, keep=None if keep is None else list({*keep, "doc_id"}))
-    out = scored.withColumn("held_out", fold_of(F.col("doc_id"), folds) == held_out)
+    out = scored.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)))
     return out if keep is None else out.select(*keep, "held_out", "score", "predicted")
