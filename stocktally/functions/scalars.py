@@ -60,6 +60,11 @@ def within_days(day: ColumnLike, as_of: str, first: int, last: int) -> Column:
     return as_col(day).cast("date").between(F.date_add(anchor, first), F.date_add(anchor, last))
 
 
+def since_days(day: ColumnLike, as_of: str, first: int) -> Column:
+    """as_of + first <= day."""
+    return as_col(day).cast("date") >= F.date_add(F.lit(as_of).cast("date"), first)
+
+
 # --- numbers ----------------------------------------------------------------
 def safe_div(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     return as_col(numerator) / F.nullif(as_col(denominator), F.lit(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -56,19 +57,22 @@ def previous_value(
     )
 
 
+def with_group(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
+    """Aggregates of each row's group, pre-aggregated and joined back. Null keys form groups, as in a window."""
+    totals = df.groupBy(*keys).agg(*values).withColumnsRenamed({k: f"__{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.join(totals, reduce(lambda a, b: a & b, on), "inner").drop(*[f"__{k}" for k in keys])
+
+
 def share_of_group(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """value / sum(value) per group, by a pre-aggregated total joined back."""
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
-    return (
-        df.join(totals, list(keys), "inner")
-        .withColumn(out, F.col(value) / F.nullif(F.col("__total"), F.lit(0)))
-        .drop("__total")
-    )
+    shares = with_group(df, keys, F.sum(value).alias("__total"))
+    return shares.withColumn(out, F.col(value) / F.nullif(F.col("__total"), F.lit(0))).drop("__total")
 
 
 def count_of_group(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """count(*) per group on every row, by a pre-aggregated count joined back."""
-    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), list(keys), "inner")
+    return with_group(df, keys, F.count(F.lit(1)).alias(out))
 
 
 def trailing(

@@ -119,15 +119,9 @@ def compare_periods(rows: DataFrame, span: Period, day: str = "created_at", cfg:
     label = F.when(between(day, span.start, span.end), "current").when(between(day, span.compare_start, span.compare_end), "previous")
     both = kpis(rows.withColumn("period", label).filter(F.col("period").isNotNull()), cfg, ["period"])
     names = [c for c in both.columns if c != "period"]
-    # A span without sales counts as zero. All three frames are at most one row.
-    sides = [
-        both.filter(F.col("period") == side).select([F.col(c).cast("double").alias(f"{side}_{c}") for c in names])
-        for side in ("current", "previous")
-    ]
-    paired = rows.sparkSession.range(1).select()
-    for side in sides:
-        paired = paired.join(F.broadcast(side), F.lit(True), "left")
-    paired = paired.fillna(0.0)
+    # Two rows at most become one; a span without sales counts as zero.
+    side = lambda name, c: F.max(F.when(F.col("period") == name, F.col(c).cast("double"))).alias(f"{name}_{c}")
+    paired = both.agg(*[side(name, c) for name in ("current", "previous") for c in names]).fillna(0.0)
     long = F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col("current_" + c).alias("current"), F.col("previous_" + c).alias("previous")) for c in names
     ]))

@@ -199,9 +199,8 @@ def vendor_dimension(t: Tables) -> DataFrame:
 
 
 def _renamed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Rename projection; columns the source does not carry come out as typed NULLs."""
-    have = set(df.columns)
-    return df.select([(F.col(c) if c in have else F.lit(None).cast("string")).alias(o) for c, o in columns.items()])
+    """Rename projection. A column that the source does not carry is an error."""
+    return df.select([F.col(c).alias(o) for c, o in columns.items()])
 
 
 def builders(cfg: RetailConfig = DEFAULT, as_of: str | None = None) -> dict:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.functions.scalars import (
-    channel, clock_text, normalized_email, safe_div, trunc_ntz, wall_clock, within_days,
+    channel, clock_text, normalized_email, safe_div, since_days, trunc_ntz, wall_clock,
 )
 from stocktally.operators.aggregates import margin_pct
 from stocktally.operators.joins import groups_with_history, inherit_from_parent, with_scalar_row, without_groups
@@ -183,18 +183,18 @@ def sales(t: Tables, cfg: RetailConfig = DEFAULT) -> DataFrame:
 
 def touched_orders(t: Tables, as_of: str, cfg: RetailConfig = DEFAULT) -> DataFrame:
     """Ids of shop orders with an item inside the lookback window."""
-    recent = within_days(wall_clock("item_created_at", cfg.timezone), as_of, -cfg.lookback_days, 0)
+    recent = since_days(wall_clock("item_created_at", cfg.timezone), as_of, -cfg.lookback_days)
     return t["magento_sales_order_item"].filter(recent).select("order_id").distinct()
 
 
 def sales_increment(t: Tables, as_of: str, cfg: RetailConfig = DEFAULT) -> DataFrame:
     """Rows to merge into the sales table.
 
-    Whole orders are re-read when any of their items is recent, so a child never
+    The window has no upper end: rows stamped after as_of belong to it. Whole orders are re-read when any of their items is recent, so a child never
     loses a parent that is older than the window.
     """
     shop = shop_sales(t, cfg, touched_orders(t, as_of, cfg))
-    market = t["int_fishbowl_gunbroker_sales"].filter(within_days("created_at", as_of, -cfg.lookback_days, 0))
+    market = t["int_fishbowl_gunbroker_sales"].filter(since_days("created_at", as_of, -cfg.lookback_days))
     return shop.unionByName(market)
 
 

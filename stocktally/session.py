@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,12 +41,12 @@ def build_session(app: str = "stocktally", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the one named by spark.checkpoint.dir.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only a session of one process (local, local[n]) without that setting falls back to a temporary folder.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="stocktally-")
         context.setCheckpointDir(folder)

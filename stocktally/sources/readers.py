@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +17,7 @@ def read_source(spark: SparkSession, name: str, root: str | None = None) -> Data
     system, table = name.split(".", 1)
     if root is None:
         return spark.table(f"{system}.{table}")
-    return spark.read.parquet(str(PurePosixPath(root) / system / table))
+    return spark.read.parquet(f"{root.rstrip('/')}/{system}/{table}")
 
 
 def read_landing(spark: SparkSession, root: str | None = None, names: list[str] | None = None) -> dict[str, DataFrame]:

@@ -18,7 +18,7 @@ from stocktally.sources.tables import Tables
 class Clean:
     """How one landing table becomes one cleaned table.
 
-    names overrides the naming rule; flags are cast to boolean; keep lists the only
+    names overrides the naming rule, leave lists columns left out; flags are cast to boolean; keep lists the only
     columns to project when the model is narrower than its source.
     """
 
@@ -33,6 +33,7 @@ class Clean:
     flags: tuple[str, ...] = ()
     cast_flags: bool = True
     keep: tuple[str, ...] = ()
+    leave: tuple[str, ...] = ()  # source columns that the model does not have
     drop_null_keys: bool = False
     tombstones: bool = True
 
@@ -66,7 +67,9 @@ ERP: dict[str, Clean] = {
     "fishbowl_po": Clean("po", entity="purchase_order", noun="po", kind="po", state="po", names={
         "vendorso": "vendor_sales_order_number", "vendorcontact": "vendor_contact_name", "email": "vendor_email", "phone": "vendor_phone",
         "buyer": "buyer_name", "issuedbyuserid": "issued_by_user_id", "totalincludestax": "is_total_including_tax",
-        "deliverto": "deliver_to_location_name", "customerso": "customer_so_number"}, flags=("totalincludestax",)),
+        "deliverto": "deliver_to_location_name", "customerso": "customer_so_number", "remitaddress": "remit_to_address",
+        "remitcity": "remit_to_city", "remitzip": "remit_to_zip", "remitstateid": "remit_to_state_id",
+        "remitcountryid": "remit_to_country_id"}, flags=("totalincludestax",)),
     "fishbowl_poitem": Clean("poitem", entity="po_item", noun="item", kind="po_item", state="po_item", names={
         "polineitem": "po_line_item_number", "qtytofulfill": "quantity_ordered", "tbdcostflag": "is_cost_tbd", "repairflag": "is_repair_item"}),
     "fishbowl_post": Clean("post", entity="post", kind="post", state="post", names={
@@ -154,11 +157,15 @@ SHOP: dict[str, Clean] = {
         **PERSON, "address_id": "quote_address_id", "free_shipping": "has_free_shipping", "collect_shipping_rates": "should_collect_shipping_rates",
         "vat_is_valid": "is_vat_valid", "vat_request_success": "was_vat_request_successful", "same_as_billing": "is_same_as_billing",
         "save_in_address_book": "should_save_in_address_book", "is_ffl": "is_ffl_address", "is_checkout": "is_checkout_address",
-        "split_rates": "has_split_rates", "smsoptin_check": "sms_optin_check", "checkout_display_merged": "is_checkout_display_merged"},
+        "split_rates": "has_split_rates", "smsoptin_check": "sms_optin_check", "checkout_display_merged": "is_checkout_display_merged",
+        "weight": "total_weight", "created_at": "address_created_at", "updated_at": "address_updated_at"},
         flags=("free_shipping", "collect_shipping_rates", "vat_is_valid", "vat_request_success", "same_as_billing", "save_in_address_book",
                "is_ffl", "is_checkout", "split_rates", "smsoptin_check", "aw_afptc_uses_coupon", "checkout_display_merged")),
     "magento_quote_address_item": Clean("quote_address_item", "address_item_id", names={
-        "is_qty_decimal": "is_quantity_decimal", "no_discount": "is_discount_excluded", "free_shipping": "has_free_shipping"},
+        "is_qty_decimal": "is_quantity_decimal", "no_discount": "is_discount_excluded", "free_shipping": "has_free_shipping",
+        "address_item_id": "quote_address_item_id", "name": "product_name", "description": "product_description", "image": "image_url",
+        "weight": "item_weight", "qty": "quantity", "price": "unit_price", "price_incl_tax": "unit_price_incl_tax",
+        "base_price_incl_tax": "base_unit_price_incl_tax"},
         flags=("is_qty_decimal", "no_discount", "free_shipping")),
     "magento_quote_shipping_rate": Clean("quote_shipping_rate", "rate_id", names={
         "code": "quote_shipping_rate_code", "rate_id": "quote_shipping_rate_id", "address_id": "quote_address_id", "carrier_id": "carrier_service_id"}),
@@ -170,6 +177,7 @@ SHOP: dict[str, Clean] = {
         "sent_to_measurement": "is_sent_to_measurement", "route_is_insured": "is_route_insured",
         "mp_smtp_email_marketing_synced": "is_mp_smtp_email_marketing_synced",
         "mp_smtp_email_marketing_order_created": "is_mp_smtp_email_marketing_order_created"},
+        leave=("total_invoiced", "base_total_invoiced", "store_currency_code", "base_total_qty_ordered"),
         flags=("customer_is_guest", "customer_note_notify", "can_ship_partially", "can_ship_partially_item", "forced_shipment_with_invoice",
                "is_virtual", "email_sent", "send_email", "sent_to_measurement", "aw_afptc_uses_coupon", "route_is_insured",
                "is_sportsouth_failed", "is_sportssouth_order", "mp_smtp_email_marketing_synced", "mp_smtp_email_marketing_order_created")),
@@ -228,7 +236,7 @@ def output_names(model: str, columns: list[str]) -> tuple[dict[str, str], tuple[
         if model in KEEPS_LOG and low in LOG_COLUMNS:
             names[column] = low
             continue
-        if low in METADATA or (spec.keep and low not in spec.keep):
+        if low in METADATA or low in spec.leave or (spec.keep and low not in spec.keep):
             continue
         if spec.keep:
             names[column] = low

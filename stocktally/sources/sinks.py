@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from stocktally.session import cut_lineage
 
@@ -28,14 +30,54 @@ def export_parquet(df: DataFrame, path: str, compression: str = "snappy") -> Non
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there. Whatever else goes wrong in looking is an error, not a missing table."""
+    fs, folder = _hadoop(spark, path)
+    before = folder.suffix("-before")
+    if not fs.exists(folder) and fs.exists(before):
+        fs.rename(before, folder)  # a replacement stopped between its two renames
+    return fs.exists(folder)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which a null equals a null. Semi and anti joins only."""
+    right = right.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return left.join(right, reduce(lambda a, b: a & b, on), how)
+
+
 def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in the batch, plus the batch.
+    """Target rows whose key is not in the batch, plus the batch. A null key part equals a null.
 
     Only the batch's keys travel to the target side, so the target is not sorted by
     row content and a small batch is broadcast.
     """
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    return _same_key(target, batch, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
+
+
+def _replace(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write beside the table, then swap the folders. A stop in between loses nothing: see table_exists."""
+    fs, folder = _hadoop(spark, path)
+    fresh, before = folder.suffix(f"-new-{uuid.uuid4().hex}"), folder.suffix("-before")
+    write_table(df, fresh.toString())
+    fs.delete(before, True)
+    fs.rename(folder, before)
+    fs.rename(fresh, folder)
+    fs.delete(before, True)
+
+
+def read_merged(spark: SparkSession, path: str, like: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """A merged table; the partition column keeps the type it has in `like`, so that 01 stays text."""
+    found = spark.read.parquet(path)
+    if partition_by is None:
+        return found
+    kind = like.schema[partition_by].dataType
+    return spark.read.schema(T.StructType([T.StructField(f.name, kind if f.name == partition_by else f.dataType) for f in found.schema])).parquet(path)
 
 
 def merge_by_key(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str | None = None) -> None:
@@ -43,38 +85,39 @@ def merge_by_key(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
 
     With a partition column only touched partitions are read and rewritten: those of
     the batch and those that hold older rows of its keys. The rewritten rows are
-    checkpointed first, because they are read from the folder they replace.
+    checkpointed first, because they are read from the folder they replace. Partitions
+    that lost their last row go last; if a run stops before that, the same batch again
+    gives the right table. Without a partition column the whole table is replaced.
+
+    Null key parts match each other. A key that the batch holds twice is an error, as is
+    a folder that is there but cannot be read as a table: nothing is written then.
     """
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
+    batch = cut_lineage(batch, "batch")
+    twice = batch.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"the batch holds a key more than once: {twice[0].asDict()}")
+    if not table_exists(spark, path):
         write_table(batch, path, partition_by=[partition_by] if partition_by else [])
         return
+    target = read_merged(spark, path, batch, partition_by)
     if partition_by is None:
-        write_table(cut_lineage(merged(target, batch, keys)), path)
+        _replace(spark, merged(target, batch, keys), path)
         return
-    ids = batch.select(*keys).distinct()
     # Key and partition columns only: a narrow scan of the target.
-    old = target.select(*keys, partition_by).join(ids, list(keys), "left_semi").select(partition_by)
-    touched = old.union(batch.select(partition_by)).distinct()
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+    held = _same_key(target.select(*keys, partition_by, folder.alias("__folder")), batch, keys, "left_semi")
     # One row per partition, as many as the job has folders to rewrite.
-    names = [row[0] for row in touched.collect()]
+    old = {row[0]: row[1] for row in held.select(partition_by, "__folder").distinct().collect()}
+    names = set(old) | {row[0] for row in batch.select(partition_by).distinct().collect()}
     scope = F.col(partition_by).isin([n for n in names if n is not None])
     if None in names:
-        scope = scope | F.col(partition_by).isNull()
+        scope = F.coalesce(scope, F.lit(False)) | F.col(partition_by).isNull()
     result = cut_lineage(merged(target.filter(scope), batch, keys).select(*target.columns))
-    emptied = [n for n in names if n not in {r[0] for r in result.select(partition_by).distinct().collect()}]
+    left = {r[0] for r in result.select(partition_by).distinct().collect()}
     (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
-    _drop_partitions(spark, path, partition_by, emptied)
-
-
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[object]) -> None:
-    """Remove folders whose last row moved elsewhere; an overwrite leaves them alone."""
-    jvm = spark._jvm
-    for value in values:
-        text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={text}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for emptied in set(old) - left:  # an overwrite leaves a folder alone whose last row moved elsewhere
+        gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(old[emptied]))
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def merge_sql(target: str, source: str, keys: Sequence[str]) -> str:
@@ -88,12 +131,16 @@ def archive_then_overwrite(
 ) -> None:
     """Copy the current rows of a type to the history table, then replace them.
 
-    Other types in the same table keep their rows.
+    Other types in the same table keep their rows. A run with a stamp that the history
+    already holds for the type archives nothing again. new_rows must not read the table.
     """
-    try:
+    stamp = F.lit(archived_at).cast("timestamp")
+    if table_exists(spark, current):
+        done = table_exists(spark, history) and not (
+            spark.read.parquet(history).filter((F.col(type_column) == type_value) & (F.col("archived_at") == stamp)).isEmpty()
+        )
         rows = spark.read.parquet(current).filter(F.col(type_column) == type_value)
-        rows.withColumn("archived_at", F.lit(archived_at).cast("timestamp")).write.mode("append").partitionBy(type_column).parquet(history)
-    except AnalysisException:
-        pass  # first run: nothing to archive
+        if not done and not rows.isEmpty():  # else a run with this stamp has archived already, or there is nothing yet
+            rows.withColumn("archived_at", stamp).write.mode("append").partitionBy(type_column).parquet(history)
     (new_rows.filter(F.col(type_column) == type_value).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(type_column).parquet(current))

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stocktally.operators.cdc import cdc_latest
+from stocktally.operators.cdc import DELETED, cdc_latest
 from stocktally.operators.windows import first_per_key
-from stocktally.sources.sinks import merge_by_key
+from stocktally.sources.sinks import merge_by_key, read_merged, table_exists
 
 
 def cdc_stream_upsert(
     stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
     clean: Callable[[DataFrame], DataFrame] | None = None, newest_first: Callable[[], Sequence[Column]] | None = None,
-    partition_by: str | None = None, once: bool = True,
+    partition_by: str | None = None, once: bool = True, tombstone: Callable[[], Column] | None = None, tombstone_mode: str = "filter_first",
 ) -> StreamingQuery:
     """Upsert newly arriving change records into a parquet table.
 
@@ -24,23 +23,39 @@ def cdc_stream_upsert(
     `newest_first` the stored rows of the batch's keys take part in that choice, so
     a late, older record never replaces a newer one. Replaying a batch after a
     failure writes the same rows again, so the result does not change.
+
+    filter_first ignores delete records, as the batch operator does. latest_wins keeps
+    the newest record of a key even if it is a delete, marked in `is_deleted`: an older
+    record that comes later does not bring the key back. `live_rows` reads the others.
     """
+    if tombstone_mode not in ("filter_first", "latest_wins"):
+        raise ValueError(f"unknown tombstone_mode {tombstone_mode!r}")
+    if tombstone_mode == "latest_wins" and (clean or newest_first is None):
+        raise ValueError("latest_wins ranks deletes itself: give newest_first and no clean")
+
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        rows = clean(batch) if clean else cdc_latest(batch, keys, newest_first and newest_first())
-        if newest_first:
-            try:
-                stored = batch.sparkSession.read.parquet(path)
-            except AnalysisException:
-                stored = None  # before the first batch
-            if stored is not None:
-                known = stored.join(rows.select(*keys).distinct(), list(keys), "left_semi")
-                rows = first_per_key(rows.unionByName(known), keys, newest_first())
-        merge_by_key(batch.sparkSession, path, rows, keys, partition_by)
+        dead = tombstone() if tombstone else F.col(DELETED).isNotNull() if DELETED in batch.columns else None
+        if tombstone_mode == "latest_wins":
+            flag = F.lit(False) if dead is None else F.coalesce(dead, F.lit(False))
+            rows = first_per_key(batch.withColumn("is_deleted", flag), keys, newest_first())
+        else:
+            rows = clean(batch) if clean else cdc_latest(batch, keys, newest_first and newest_first(), dead)
+        session = batch.sparkSession
+        if newest_first and table_exists(session, path):
+            ids = rows.select(*keys).distinct()
+            known = read_merged(session, path, rows, partition_by).join(ids, list(keys), "left_semi")
+            rows = first_per_key(rows.unionByName(known), keys, newest_first())
+        merge_by_key(session, path, rows, keys, partition_by)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def live_rows(table: DataFrame) -> DataFrame:
+    """Rows of a table kept with latest_wins whose newest record is no delete."""
+    return table.filter(~F.col("is_deleted")).drop("is_deleted")
+
+
 def daily_distinct(stream: DataFrame, ts: str, order: str, by: Sequence[str] = (), late: str = "3 days") -> DataFrame:
     """Approximate distinct orders per day, with late records accepted for a while."""
     return (
@@ -61,8 +76,14 @@ def stream_ages(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return stream.groupBy(*keys).agg(F.max(ts).alias("last_extracted_at"), F.count(F.lit(1)).alias("records"))
 
 
-def run_to_memory(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Drain a bounded stream into an in-memory table, for tests."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return df.sparkSession.table(name)
+def drain(df: DataFrame, folder: str, mode: str) -> DataFrame:
+    """Run a bounded stream to its end and read its result from files.
+
+    An appended result is written as a file sink. A complete one replaces the files of the trigger before.
+    """
+    if mode == "append":
+        writer = df.writeStream.format("parquet").outputMode(mode).option("path", folder)
+    else:
+        writer = df.writeStream.outputMode(mode).foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(folder))
+    writer.option("checkpointLocation", folder + "-progress").trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

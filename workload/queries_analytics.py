@@ -170,12 +170,23 @@ _KPI = f"""select 0 as one, sum(row_total) as net_sales, sum(cost) as cost, sum(
  (sum(row_total) - sum(cost) - sum(freight_cost)) / sum(row_total) * 100 as contribution_margin from {{facts}}"""
 add("kpi_set", lambda t: bi.kpis(_facts(t), CFG), f"select * exclude (one) from ({_KPI})",
     {c: 2 for c in "net_sales cost gross_profit freight_rev freight_cost gp_after_var avg_ticket".split()} | {c: 4 for c in "margin shipping_pct contribution_margin".split()})
-for _kind in ("TODAY", "MTD", "YTD"):
-    _p = bi.period(_kind, AS_OF)
-    add(f"compare_{_kind.lower()}", lambda t, p=_p: bi.compare_periods(_facts(t), p, cfg=CFG).filter(F.col("metric").isin("net_sales", "orders", "units")),
-        f"""with c as (select sum(row_total) as net_sales, count(distinct order_no) as orders, sum(units) as units from {{facts}} where created_at between date '{_p.start}' and date '{_p.end}'),
- v as (select sum(row_total) as net_sales, count(distinct order_no) as orders, sum(units) as units from {{facts}} where created_at between date '{_p.compare_start}' and date '{_p.compare_end}')
- """ + " union all ".join(f"select '{m}' as metric, cast(coalesce(c.{m}, 0) as double) as current, cast(coalesce(v.{m}, 0) as double) as previous, round((coalesce(c.{m}, 0) - v.{m}) / nullif(abs(v.{m}), 0) * 100, 1) as pct_change from c, v" for m in ("net_sales", "orders", "units")), {"current": 2, "previous": 2})
+_METRICS = (
+    "net_sales", "cost", "gross_profit", "orders", "units", "freight_rev", "freight_cost", "gp_after_var", "free_ship_orders", "margin",
+    "avg_ticket", "shipping_pct", "contribution_margin",
+)
+
+
+def _within(start, end) -> str:
+    return _KPI.replace("{facts}", f"(select * from {{facts}} where created_at between date '{start}' and date '{end}')")
+
+
+for _kind, _given in (("TODAY", ()), ("MTD", ()), ("YTD", ()), ("CUSTOM", (2001, 3))):
+    _p = bi.period(_kind, AS_OF, *_given)
+    add(f"compare_{_kind.lower()}", lambda t, p=_p: bi.compare_periods(_facts(t), p, cfg=CFG),
+        f"with c as ({_within(_p.start, _p.end)}), v as ({_within(_p.compare_start, _p.compare_end)}) " + " union all ".join(
+            f"select '{m}' as metric, cast(coalesce(c.{m}, 0) as double) as current, cast(coalesce(v.{m}, 0) as double) as previous, "
+            f"round((coalesce(c.{m}, 0) - v.{m}) / nullif(abs(v.{m}), 0) * 100, 1) as pct_change from c, v" for m in _METRICS
+        ), {"current": 2, "previous": 2})
 _LABEL = "(case when hour % 12 = 0 then 12 else hour % 12 end) || ':00 ' || case when hour < 12 then 'AM' else 'PM' end as hour_label"
 add("hourly_profile", lambda t: bi.hourly_profile(_facts(t), "GP ($)"), f"select *, {_LABEL} from (select hour_num as hour, {_measure('GP ($)')} as value from {{facts}} group by 1)", {"value": 2})
 add("hourly_average", lambda t: bi.hourly_average(_facts(t), "Orders"),

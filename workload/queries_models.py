@@ -55,8 +55,8 @@ model("f_sales", SALES_DIGITS)
 add("f_sales_realtime", lambda t: sales.sales_realtime(t, AS_OF, CFG), "select * from {f_sales_realtime}", SALES_DIGITS + " base_cost")
 add("f_sales_increment", lambda t: sales.sales_increment(t, AS_OF, CFG),
     f"""select * from {{shop_sales}} where order_id in (select order_id from {{magento_sales_order_item}}
- where cast(((item_created_at) at time zone 'UTC') at time zone '{CFG.timezone}' as date) between date '{AS_OF}' - {CFG.lookback_days} and date '{AS_OF}')
- union all by name select * from {{int_fishbowl_gunbroker_sales}} where created_at between date '{AS_OF}' - {CFG.lookback_days} and date '{AS_OF}'""", SALES_DIGITS)
+ where cast(((item_created_at) at time zone 'UTC') at time zone '{CFG.timezone}' as date) >= date '{AS_OF}' - {CFG.lookback_days})
+ union all by name select * from {{int_fishbowl_gunbroker_sales}} where created_at >= date '{AS_OF}' - {CFG.lookback_days}""", SALES_DIGITS)
 model("int_daily_sales_metrics", "daily_revenue daily_margin_pct")
 model("v_daily_revenue", "total_revenue")
 model("int_daily_sales_by_caliber", "units_sold")
@@ -75,6 +75,6 @@ _SEG = {"total_revenue": 4, "margin": 6}
 add("d_customer_segmentation", lambda t: t["d_customer_segmentation"], "select * from {d_customer_segmentation}", _SEG)
 add("segmentation_normalized_email", lambda t: customers.segmentation(t, AS_OF, CFG, normalize_email=True), "select * from {segmentation_normalized}", _SEG)
 model("d_store")
-add("d_customer", lambda t: t["d_customer"].select("entity_id", "email", "group_id", "store_id", "lastname", "firstname", "is_active"),
-    "select customer_id as entity_id, email, customer_group_id as group_id, store_id, last_name as lastname, first_name as firstname, is_active from {magento_customer_entity}")
-add("d_vendor", lambda t: t["d_vendor"].select("vendor_id", "vendor_name", "credit_limit"), "select vendor_id, vendor_name, credit_limit from {fishbowl_vendors}")
+add("d_customer", lambda t: t["d_customer"],
+    "select " + ", ".join(f"{c} as {o}" for c, o in customers.CUSTOMER_COLUMNS.items()) + " from {magento_customer_entity}")
+add("d_vendor", lambda t: t["d_vendor"], "select " + ", ".join(customers.VENDOR_COLUMNS) + " from {fishbowl_vendors}")

@@ -247,6 +247,15 @@ add("share_of_group", lambda t: W.share_of_group(
     t["lineitem"].groupBy("l_orderkey", "l_suppkey").agg(F.sum("l_extendedprice").alias("revenue")), ["l_orderkey"], "revenue", "share"),
     "select l_orderkey, l_suppkey, sum(l_extendedprice) as revenue, sum(l_extendedprice) / sum(sum(l_extendedprice)) over (partition by l_orderkey) as share from lineitem group by 1, 2", {"revenue": 4, "share": 6})
 
+# Keys that are null form a group of their own.
+_NULLED = "nullif(l_suppkey % 4, 0)"
+add("count_of_group_null_keys", lambda t: W.count_of_group(
+    t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", F.expr(_NULLED).alias("k"), "l_returnflag"), ["k", "l_returnflag"], "lines"),
+    f"select l_orderkey, l_linenumber, l_partkey, {_NULLED} as k, l_returnflag, count(*) over (partition by {_NULLED}, l_returnflag) as lines from lineitem")
+add("share_of_group_null_keys", lambda t: W.share_of_group(
+    t["lineitem"].groupBy(F.expr(_NULLED).alias("k"), "l_returnflag").agg(F.sum("l_extendedprice").alias("revenue")), ["k"], "revenue", "share"),
+    f"""select k, l_returnflag, revenue, revenue / sum(revenue) over (partition by k) as share
+ from (select {_NULLED} as k, l_returnflag, sum(l_extendedprice) as revenue from lineitem group by 1, 2)""", {"revenue": 2, "share": 6})
 
 def _daily(t):
     return t["orders"].groupBy(F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority").agg(F.sum("o_totalprice").alias("total"))

@@ -270,28 +270,39 @@ add("export_and_view", _export, "select o_orderstatus, count(*) as orders from o
 
 
 def _event_stream(t):
-    """The event file set as a bounded stream of files."""
+    """The events as a bounded stream of files, as many as their scan has tasks and two at least; half come per trigger."""
     spark = t["events"].sparkSession
     folder = _scratch(spark, "stream") + "/events"
-    t["events"].repartition(4).write.mode("overwrite").parquet(folder)
-    return spark, spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", 2).parquet(folder), folder
+    t["events"].filter("user_id % 2 = 0").write.parquet(folder)
+    t["events"].filter("user_id % 2 <> 0").write.mode("append").parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    return spark, spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(folder), folder
 
 
-def _stream_upsert(t):
+_BUCKETS = 16  # folders of the stored table: a batch rewrites those it touches
+
+
+def _stream_upsert(t, out="-out", **mode):
     spark, stream, folder = _event_stream(t)
     live.cdc_stream_upsert(
-        stream, folder + "-out", ["user_id"], folder + "-check", newest_first=lambda: [F.desc("ts"), F.desc("event_id")]
+        stream.withColumn("bucket", F.col("user_id") % _BUCKETS), folder + out, ["user_id"], folder + out + "-progress", partition_by="bucket",
+        newest_first=lambda: [F.desc("ts"), F.desc("event_id")], **mode,
     ).awaitTermination()
-    return spark.read.parquet(folder + "-out").select("user_id", "event_id", "ts")
+    return spark.read.parquet(folder + out).drop("bucket")
 
 
-add("stream_cdc_upsert", _stream_upsert, "select user_id, arg_max(event_id, (ts, event_id)) as event_id, max(ts) as ts from events group by 1")
+add("stream_cdc_upsert", _stream_upsert, """select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
+_GONE = "event_type = 'purchase'"
+add("stream_cdc_delete", lambda t: live.live_rows(_stream_upsert(t, tombstone=lambda: F.expr(_GONE), tombstone_mode="latest_wins")),
+    f"select * from (select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1) where not ({_GONE})")
+add("stream_cdc_delete_filter_first", lambda t: _stream_upsert(t, tombstone=lambda: F.expr(_GONE)),
+    f"select * from events where not ({_GONE}) qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
 
 
 def _stream_distinct(t):
-    _, stream, _ = _event_stream(t)
+    _, stream, folder = _event_stream(t)
     stamped = stream.withColumn("at", F.col("ts").cast("timestamp"))
-    rows = live.run_to_memory(live.exact_daily_distinct(stamped, "at", "user_id", "40 days"), "daily_users", "append")
+    rows = live.drain(live.exact_daily_distinct(stamped, "at", "user_id", "40 days"), folder + "-users", "append")
     return rows.groupBy("sale_date").agg(F.count(F.lit(1)).alias("users"))
 
 
@@ -299,17 +310,51 @@ add("stream_daily_distinct", _stream_distinct, "select cast(ts as date) as sale_
 
 
 def _stream_ages(t):
-    _, stream, _ = _event_stream(t)
-    return live.run_to_memory(live.stream_ages(stream, ["event_type"], "ts"), "event_ages", "complete")
+    _, stream, folder = _event_stream(t)
+    return live.drain(live.stream_ages(stream, ["event_type"], "ts"), folder + "-ages", "complete")
 
 
 add("stream_freshness", _stream_ages, "select event_type, max(ts) as last_extracted_at, count(*) as records from events group by 1")
 
 
 def _stream_approx(t):
-    _, stream, _ = _event_stream(t)
+    """The approximate count is compared as a statement about its error: within 10 % of the exact one."""
+    _, stream, folder = _event_stream(t)
     stamped = stream.withColumn("at", F.col("ts").cast("timestamp"))
-    return live.run_to_memory(live.daily_distinct(stamped, "at", "user_id"), "daily_users_approx", "complete").select("sale_date", "records")
+    rows = live.drain(live.daily_distinct(stamped, "at", "user_id"), folder + "-approx", "complete")
+    exact = t["events"].groupBy(F.col("ts").cast("date").alias("sale_date")).agg(F.count_distinct("user_id").alias("exact"))
+    near = F.abs(F.col("orders") - F.col("exact")) <= 0.1 * F.col("exact")
+    return rows.join(exact, "sale_date").select("sale_date", "records", near.alias("within_error"))
+
+
+add("stream_daily_approximate", _stream_approx, "select cast(ts as date) as sale_date, count(*) as records, true as within_error from events group by 1")
+
 
+def _archive_rerun(t):
+    """The second run with one stamp archives nothing again."""
+    root = _scratch(t["orders"].sparkSession, "archive")
+    spark = t["orders"].sparkSession
+    rows = t["orders"].groupBy("o_orderpriority").agg(F.sum("o_totalprice").alias("v")).withColumn("kind", F.lit("priority"))
+    for at in ("2001-01-01", "2001-02-01", "2001-02-01"):
+        sinks.archive_then_overwrite(spark, f"{root}/current", f"{root}/history", rows, "kind", "priority", at)
+    return spark.read.parquet(f"{root}/history").select("o_orderpriority", "v", F.col("kind").cast("string"), F.date_format("archived_at", "yyyy-MM-dd").alias("at"))
+
+
+add("archive_rerun", _archive_rerun, "select o_orderpriority, sum(o_totalprice) as v, 'priority' as kind, '2001-02-01' as at from orders group by 1", {"v": 2})
 
-add("stream_daily_approximate", _stream_approx, "select cast(ts as date) as sale_date, count(*) as records from events group by 1")
+
+def _merge_months(t):
+    """Two-digit months as folders: 01 stays text and meets its own folder; some keys are null."""
+    spark = t["orders"].sparkSession
+    path = _scratch(spark, "merge") + "/months"
+    rows = t["orders"].select(F.expr("nullif(o_orderkey, 1)").alias("o_orderkey"), "o_totalprice", F.date_format("o_orderdate", "MM").alias("mm"))
+    sinks.merge_by_key(spark, path, rows, ["o_orderkey"], "mm")
+    moved = rows.filter("mm = '01' or o_orderkey is null").withColumns({"mm": F.lit("x:" + "1"), "o_totalprice": F.col("o_totalprice") + 1})
+    for _ in range(2):
+        sinks.merge_by_key(spark, path, moved, ["o_orderkey"], "mm")
+    return sinks.read_merged(spark, path, rows, "mm")
+
+
+add("merge_by_month", _merge_months,
+    """select nullif(o_orderkey, 1) as o_orderkey, case when m then o_totalprice + 1 else o_totalprice end as o_totalprice, case when m then 'x:1' else mm end as mm
+ from (select o_orderkey, o_totalprice, strftime(o_orderdate, '%m') as mm, strftime(o_orderdate, '%m') = '01' or o_orderkey = 1 as m from orders)""", {"o_totalprice": 2})

@@ -12,6 +12,18 @@ BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"
 
 _EMAIL = """case c_mktsegment when 'FURNITURE' then '' when 'MACHINERY' then c_name || '@mail.test'
  else lower(c_name) || '@mail.test' end"""
+# Columns that no other view reads: every one is filled, so that the dimensions can be compared whole.
+_CUSTOMER_REST = ",\n ".join(f"c_name || ':{c}' as {c}" for c in (
+    "date_of_birth", "gender", "name_prefix", "name_suffix", "tax_vat_number", "customer_created_at", "created_in_store_view", "middle_name",
+    "customer_updated_at", "website_id", "confirmation_token", "login_failures_count", "customer_increment_id", "account_lock_expires_at",
+    "first_login_failure_at", "password_hash", "_ab_cdc_cursor", "session_cutoff", "_ab_cdc_log_pos", "default_billing_address_id", "is_zendesk_user",
+    "default_shipping_address_id", "password_reset_token_created_at", "is_auto_group_change_disabled", "is_mp_smtp_email_marketing_synced",
+))
+_VENDOR_REST = ",\n ".join(f"s_name || ':{c}' as {c}" for c in (
+    "vendor_note", "vendor_url", "lead_time_days", "status_id", "account_id", "sysuser_id", "tax_rate_id", "account_number", "is_active", "currency_id",
+    "date_entered", "accounting_id", "currency_rate", "custom_fields", "accounting_hash", "minimum_order_amount", "last_changed_user",
+    "date_last_modified", "default_carrier_id", "default_ship_terms_id", "default_payment_terms_id", "default_carrier_service_id",
+))
 _GROUP = "cast(substr(o_orderpriority, 1, 1) as int)"
 _UOM = "case l_linenumber when 3 then 2 when 4 then 3 else 1 end"
 _ZIP = "lpad(cast((c_nationkey + 1) * 3947 as string), 5, '0')"
@@ -84,7 +96,7 @@ VIEWS: dict[str, str] = {
  (104, 104, 1, 'Home Defense'), (105, 105, 1, 'General'), (106, 105, 9, 'not a name')) as c(value_id, entity_id, attribute_id, value)""",
     "magento_catalog_product_super_link": "select item_id as link_id, l_partkey as product_id, l_suppkey as parent_id from {items}",
     "magento_customer_entity": f"""select c_custkey as customer_id, {_EMAIL} as email, n_regionkey as customer_group_id, c_nationkey as store_id,
- c_name as last_name, c_mktsegment as first_name, true as is_active from {{customer}} join {{nation}} on c_nationkey = n_nationkey""",
+ c_name as last_name, c_mktsegment as first_name, true as is_active, {_CUSTOMER_REST} from {{customer}} join {{nation}} on c_nationkey = n_nationkey""",
     "magento_quote": "select o_orderkey as entity_id, 'Q' || cast(o_orderkey as string) as ext_shipping_info from {orders}",
     "magento_quote_address": "select o_orderkey as quote_address_id, o_orderkey as quote_id from {orders}",
     "magento_quote_shipping_rate": """select o_orderkey as quote_shipping_rate_id, o_orderkey as quote_address_id, o_orderpriority as quote_shipping_rate_code,
@@ -132,7 +144,7 @@ VIEWS: dict[str, str] = {
     "fishbowl_kititem": """select item_id as kit_item_id, l_partkey as kit_product_id, l_suppkey as component_product_id,
  case when l_linenumber = 1 then 20 else 10 end as kit_type_id, l_quantity as default_quantity from {items} where l_returnflag = 'N'""",
     "fishbowl_vendor_parts": "select item_id as id, l_partkey as partid, l_shipdate as datelastmodified, l_extendedprice / l_quantity as lastcost from {items}",
-    "fishbowl_vendors": "select s_suppkey as vendor_id, s_name as vendor_name, s_acctbal as credit_limit from {supplier}",
+    "fishbowl_vendors": f"select s_suppkey as vendor_id, s_name as vendor_name, s_acctbal as credit_limit, {_VENDOR_REST} from {{supplier}}",
     # --- ERP purchasing, transfers, work orders ---
     "order_lines": """select l_orderkey, min(l_suppkey) as supp, min(l_partkey) as part, sum(l_quantity) as qty, max(l_linenumber) as n from {items} group by l_orderkey""",
     "fishbowl_po": f"""select o_orderkey as purchase_order_id, supp as vendor_id, o_orderdate as created_at, o_orderdate as confirmed_at,

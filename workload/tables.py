@@ -45,7 +45,17 @@ STORED = (
     "items", "order_lines", "inventory_qtyinventory", "int_item_costs", "int_magento_order_freight", "int_magento_product_eav_lookups",
     "int_sales_cost_fallback", "int_shop_items", "int_receipt_lines", "d_product", "f_sales", "f_pos",
 )
-_SETS: dict[tuple[str, str], Tables] = {}
+_SETS: dict[tuple, Tables] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the files of the given tables."""
+    found = []
+    for name in BASE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return tuple(found)
 
 
 def new_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -59,8 +69,8 @@ def new_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The tables of a folder, shared by all queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The tables of a folder, shared by all queries of a session as long as its files stay the same."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _SETS:
         _SETS[key] = new_tables(spark, sf_dir)
     return _SETS[key]
