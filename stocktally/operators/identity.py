@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stocktally.functions.scalars import normalized_email
-from stocktally.session import cut_lineage
-
-_PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above this bit
+from stocktally.session import PARTITION_SHIFT, cut_lineage
 
 
 def dense_rank_ids(values: DataFrame, column: str, out: str) -> DataFrame:
@@ -22,8 +20,8 @@ def dense_rank_ids(values: DataFrame, column: str, out: str) -> DataFrame:
     )
     ordered = cut_lineage(ordered, "ranked").select(
         column,
-        F.shiftright("__mono", _PARTITION_SHIFT).alias("__slice"),
-        F.col("__mono").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1)).alias("__pos"),
+        F.shiftright("__mono", PARTITION_SHIFT).alias("__slice"),
+        F.col("__mono").bitwiseAND(F.lit((1 << PARTITION_SHIFT) - 1)).alias("__pos"),
     )
     # One row per task of the sort: bounded by the shuffle width.
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

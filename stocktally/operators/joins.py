@@ -45,7 +45,9 @@ def inherit_from_parent(
     donors = df.filter(is_parent).select(
         F.col(key).alias("__donor"), *[F.col(c).alias(prefix + c) for c in columns]
     )
-    joined = df.join(donors, F.col(parent) == F.col("__donor"), "left")
+    # A row without a parent is dealt out by its own key and matches nothing: NULLs would meet in one task.
+    dealt = F.coalesce(F.col(parent), F.col(key)) == F.col("__donor")
+    joined = df.join(donors, dealt & F.col(parent).isNotNull(), "left")
     has = F.col("__donor").isNotNull()
     return joined.withColumns(
         {c: F.when(has, F.col(prefix + c)).otherwise(F.col(c)) for c in columns}

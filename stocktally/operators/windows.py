@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stocktally.session import PARTITION_SHIFT, cut_lineage
+
 _RANK = "__rank"
 
 
@@ -25,35 +27,31 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order_by: Sequenc
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str,
-    tiebreak: Sequence[str] = (), slice_unit: str = "month",
+    df: DataFrame, keys: Sequence[str], ts: str, value: str, out: str, tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """lag(value) per key in ascending time, NULL times last.
 
-    The window is cut into calendar slices so that a key holding a large share of
-    the rows is spread over many tasks. Each slice starts with one carried row: the
-    newest value of the key's previous slice, found over one row per key and slice.
+    The rows are sorted by key and time over all tasks, and each task's stretch is a
+    slice: its size is bounded, whatever one key or one day holds. The sorted rows are
+    written once, so that both passes see the same slices. The first row of a key in a
+    slice continues with the last row of the slice before if that has the same key; this
+    needs one row per slice.
     """
-    cut, body_flag = "__slice", "__body"
-    sliced = df.withColumn(cut, F.date_trunc(slice_unit, F.col(ts)))
-    newest = [F.col(ts).isNull().alias("n"), F.col(ts).alias("t")]
-    for i, c in enumerate(tiebreak):
-        newest += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"b{i}")]
-    last = sliced.groupBy(*keys, cut).agg(
-        F.max(F.struct(*newest, F.col(value).alias("value"))).alias("__last")
-    )
-    slices = Window.partitionBy(*keys).orderBy(F.col(cut).asc_nulls_last())
-    carried = last.select(
-        *keys, cut, F.lag("__last").over(slices)["value"].alias("__value"), F.lit(0).alias(body_flag)
-    )
-    body = sliced.withColumn("__value", F.col(value)).withColumn(body_flag, F.lit(1))
-    order = [F.col(body_flag), F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]]
-    inner = Window.partitionBy(*keys, cut).orderBy(*order)
+    ordered = df.orderBy(*keys, F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak])
+    ordered = cut_lineage(ordered.withColumn("__place", F.monotonically_increasing_id()), "sliced")
+    ordered = ordered.withColumn("__slice", F.shiftright("__place", PARTITION_SHIFT))
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    ends = ordered.groupBy("__slice").agg(F.max_by(F.struct(key.alias("key"), F.col(value).alias("value")), "__place").alias("__end"))
+    before = Window.orderBy("__slice")
+    carried = ends.select("__slice", F.lag("__end").over(before).alias("__carried"))
+    inner = Window.partitionBy("__slice", *keys).orderBy("__place")
+    first = F.row_number().over(inner) == 1
+    continues = F.col("__carried").isNotNull() & F.col("__carried")["key"].eqNullSafe(key)
     return (
-        body.unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, F.lag("__value").over(inner))
-        .filter(F.col(body_flag) == 1)
-        .drop(cut, "__value", body_flag)
+        ordered.withColumns({"__first": first, "__lag": F.lag(value).over(inner)})
+        .join(F.broadcast(carried), "__slice")
+        .withColumn(out, F.when(F.col("__first"), F.when(continues, F.col("__carried")["value"])).otherwise(F.col("__lag")))
+        .drop("__slice", "__place", "__first", "__lag", "__carried")
     )
 
 
@@ -114,7 +112,6 @@ def top_n_else_other(
 
 def session_pairs(
     events: DataFrame, key: str, ts: str, kind: str, opens: str, closes: str, tiebreak: Sequence[str] = (),
-    slice_unit: str = "day",
 ) -> DataFrame:
     """Seconds between an opening event and the closing event that directly follows it.
 
@@ -124,7 +121,7 @@ def session_pairs(
     marks = events.filter(F.col(kind).isin(opens, closes)).select(
         key, ts, kind, *tiebreak, F.struct(F.col(kind).alias("k"), F.col(ts).alias("t")).alias("__mark")
     )
-    paired = previous_value(marks, [key], ts, "__mark", "__prev", tiebreak, slice_unit)
+    paired = previous_value(marks, [key], ts, "__mark", "__prev", tiebreak)
     seconds = F.unix_seconds(F.col(ts).cast("timestamp")) - F.unix_seconds(F.col("__prev")["t"].cast("timestamp"))
     is_pair = (F.col(kind) == closes) & (F.col("__prev")["k"] == opens)
     return paired.groupBy(key).agg(
@@ -135,8 +132,8 @@ def session_pairs(
     )
 
 
-def decreasing_steps(df: DataFrame, value: str, order: str, tiebreak: Sequence[str] = (), slice_unit: str = "month") -> DataFrame:
+def decreasing_steps(df: DataFrame, value: str, order: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Rows whose value is lower than that of the row just before them in time."""
     keyed = df.withColumn("__all", F.lit(1))
-    stepped = previous_value(keyed, ["__all"], order, value, "previous_value", tiebreak, slice_unit)
+    stepped = previous_value(keyed, ["__all"], order, value, "previous_value", tiebreak)
     return stepped.filter(F.col(value) < F.col("previous_value")).drop("__all")

@@ -173,8 +173,12 @@ def shipment_costs(t: Tables, keys: tuple[str, ...], own_amount: str) -> DataFra
     invoiced = t["magento_ups_invoice"].groupBy("tracking_number").agg(F.sum("net_amount").alias("net_amount"))
     cartons = t["fishbowl_shipcarton"].select("shipment_id", "tracking_number", "freight_amount", "freight_weight")
     ships = t["fishbowl_ship"].select("shipment_id", "sales_order_id", "carrier_service_id")
+    # Cartons without a tracking number are dealt out by shipment and match nothing.
+    known = F.col("tracking_number").isNotNull()
+    dealt = F.coalesce("tracking_number", F.concat(F.lit("-"), F.col("shipment_id").cast("string"))) == F.col("__invoiced")
     return (
-        ships.join(cartons, "shipment_id", "left").join(invoiced, "tracking_number", "left")
+        ships.join(cartons, "shipment_id", "left")
+        .join(invoiced.withColumnRenamed("tracking_number", "__invoiced"), dealt & known, "left")
         .groupBy(*keys).agg(
             F.coalesce(F.sum("net_amount"), F.sum(own_amount)).alias("freight_amount"),
             F.sum("freight_weight").alias("freight_weight"),

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the partition above this bit
+
 # Runtime settings every job relies on. They can be changed on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",

@@ -186,3 +186,22 @@ def test_custom_period_is_cut_at_today():
 def test_config_is_frozen():
     with pytest.raises(dataclasses.FrozenInstanceError):
         DEFAULT.base_uom_id = 2
+
+
+def test_groups_keep_rows_with_null_keys(spark, rows):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 6.0)], "k string, v double")
+    assert rows(windows.count_of_group(df, ["k"], "n"), "v", "n") == [(1.0, 2), (2.0, 2), (3.0, 2), (6.0, 2)]
+    assert rows(windows.share_of_group(df, ["k"], "v", "s"), "v", "s") == [(1.0, 0.25), (2.0, 0.25), (3.0, 0.75), (6.0, 0.75)]
+
+
+def test_slices_are_bounded_on_one_key_and_one_day(spark):
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.lit("2024-01-01").cast("date").alias("t"), F.col("id"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = windows.previous_value(df, ["k"], "t", "v", "prev", ["id"])
+        tasks = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(tasks) >= 4 and max(tasks) <= 2000
+    assert got.filter("(v = 0 and prev is not null) or (v > 0 and prev <> v - 1)").isEmpty()

@@ -76,3 +76,83 @@ def test_archive_keeps_other_types(spark, rows):
         sinks.archive_then_overwrite(spark, f"{root}/now", f"{root}/old", rows_of(kind, v), "kind", kind, "2024-01-01")
     assert rows(spark.read.parquet(f"{root}/now"), "kind", "v") == [("a", 3), ("b", 2)]
     assert rows(spark.read.parquet(f"{root}/old"), "kind", "v") == [("a", 1)]
+
+
+def test_merge_keeps_text_partitions_apart(spark, rows):
+    path = folder(spark, "merge")
+    data = [(1, "a", "01"), (2, "b", "10"), (3, "c", "x:1"), (4, "d", "2024-01-01 10:00:00"), (5, "e", None)]
+    first = frame(spark, data)
+    sinks.merge_by_key(spark, path, first, ["id"], "day")
+    for _ in range(2):
+        sinks.merge_by_key(spark, path, frame(spark, [(1, "A", "01"), (3, "C", "y/2"), (4, "D", "01"), (5, "E", "x:1")]), ["id"], "day")
+    got = rows(sinks.read_merged(spark, path, first, "day"), "id", "v", "day")
+    assert got == [(1, "A", "01"), (2, "b", "10"), (3, "C", "y/2"), (4, "D", "01"), (5, "E", "x:1")]
+
+
+def test_merge_matches_null_keys_and_refuses_repeated_ones(spark, rows):
+    import pytest
+
+    for by in (None, "day"):
+        path = folder(spark, "merge")
+        batch = frame(spark, [(None, "n", "d1"), (1, "a", "d1")])
+        for _ in range(3):
+            sinks.merge_by_key(spark, path, batch, ["id"], by)
+        assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (None, "n")]
+        with pytest.raises(ValueError, match="more than once"):
+            sinks.merge_by_key(spark, path, frame(spark, [(1, "x", "d1"), (1, "y", "d2")]), ["id"], by)
+        assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (None, "n")]
+
+
+def test_merge_leaves_a_folder_it_cannot_read_alone(spark, rows):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    root = folder(spark, "laid")
+    frame(spark, [(1, "a", "d")]).write.parquet(f"{root}/2024/01")
+    with pytest.raises(AnalysisException):
+        sinks.merge_by_key(spark, root, frame(spark, [(2, "b", "d")]), ["id"])
+    assert rows(spark.read.parquet(f"{root}/2024/01"), "id") == [(1,)]
+
+
+def test_a_stopped_replacement_is_taken_back(spark, rows):
+    path = folder(spark, "swap")
+    frame(spark, [(1, "a", "d")]).write.parquet(path + "-before")  # stopped between the two renames
+    sinks.merge_by_key(spark, path, frame(spark, [(2, "b", "d")]), ["id"])
+    assert rows(spark.read.parquet(path), "id") == [(1,), (2,)]
+
+
+def test_archive_twice_with_one_stamp(spark, rows):
+    root = folder(spark, "archive")
+    rows_of = lambda v: spark.createDataFrame([(v,)], "v int").withColumn("kind", F.lit("a"))
+    for v, at in ((1, "2024-01-01"), (2, "2024-02-01"), (3, "2024-02-01")):
+        sinks.archive_then_overwrite(spark, f"{root}/now", f"{root}/old", rows_of(v), "kind", "a", at)
+    assert rows(spark.read.parquet(f"{root}/old"), "v") == [(1,)] and rows(spark.read.parquet(f"{root}/now"), "v") == [(3,)]
+
+
+def test_sources_by_address(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="file:/nowhere/landing/fishbowl/so"):
+        readers.read_source(spark, "fishbowl.so", "file:///nowhere/landing/")
+
+
+def test_stream_deletes_in_both_modes(spark, rows):
+    from stocktally.streaming import live
+
+    schema = "id int, v string, at int, gone boolean"
+    source = folder(spark, "changes")
+    batches = ([(1, "a", 1, False), (2, "b", 1, False)], [(1, None, 3, True)], [(1, "late", 2, False), (2, "B", 2, False)])
+    for mode, want in (("latest_wins", [(2, "B")]), ("filter_first", [(1, "late"), (2, "B")])):
+        path = folder(spark, "kept")
+        for i, batch in enumerate(batches):
+            if mode == "latest_wins":
+                spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+            else:
+                spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source + "2")
+            live.cdc_stream_upsert(
+                spark.readStream.schema(schema).parquet(source if mode == "latest_wins" else source + "2"), path, ["id"], path + "-progress",
+                newest_first=lambda: [F.desc("at")], tombstone=lambda: F.col("gone"), tombstone_mode=mode,
+            ).awaitTermination()
+        kept = spark.read.parquet(path)
+        assert rows(live.live_rows(kept) if mode == "latest_wins" else kept, "id", "v") == want

@@ -239,7 +239,7 @@ add("top_n_per_key", lambda t: W.top_per_key(t["orders"].select("o_custkey", "o_
 add("previous_value_per_key", lambda t: W.previous_value(t["orders"].select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], "o_orderdate", "o_orderdate", "previous", ["o_orderkey"]),
     "select o_custkey, o_orderkey, o_orderdate, lag(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey) as previous from orders")
 add("previous_value_hot_key", lambda t: W.previous_value(
-    t["events"].select("event_type", "event_id", "ts", "value"), ["event_type"], "ts", "value", "previous", ["event_id"], "hour"),
+    t["events"].select("event_type", "event_id", "ts", "value"), ["event_type"], "ts", "value", "previous", ["event_id"]),
     "select event_type, event_id, ts, value, lag(value) over (partition by event_type order by ts, event_id) as previous from events")
 add("count_of_group", lambda t: W.count_of_group(t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], "lines"),
     "select l_orderkey, l_linenumber, l_partkey, count(*) over (partition by l_orderkey) as lines from lineitem")
@@ -278,7 +278,7 @@ add("session_pairs", lambda t: W.session_pairs(t["events"], "user_id", "ts", "ev
  select user_id, event_type, case when event_type = 'purchase' and lag(event_type) over w = 'signup'
   then cast(floor(epoch(ts)) - floor(epoch(lag(ts) over w)) as bigint) end as s from events where event_type in ('signup', 'purchase')
  window w as (partition by user_id order by ts, event_id)) group by 1""", "avg_active_sec")
-add("decreasing_steps", lambda t: W.decreasing_steps(t["events"].select("event_id", "ts", "value"), "value", "ts", ["event_id"], "hour"),
+add("decreasing_steps", lambda t: W.decreasing_steps(t["events"].select("event_id", "ts", "value"), "value", "ts", ["event_id"]),
     "select * from (select event_id, ts, value, lag(value) over (order by ts, event_id) as previous_value from events) where value < previous_value")
 add("earliest_per_key", lambda t: W.first_per_key(t["events"].select("user_id", "event_type", "event_id", "ts"), ["user_id", "event_type"], [F.asc("ts"), F.asc("event_id")]),
     "select user_id, event_type, arg_min(event_id, (ts, event_id)) as event_id, min(ts) as ts from events group by 1, 2")
