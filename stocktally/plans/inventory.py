@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.functions.scalars import uom_convert
-from stocktally.operators.aggregates import pivot_sum
-from stocktally.operators.ordering import stack
 from stocktally.sources.tables import Tables
 
 GROUP = ["part_id", "location_group_id"]
@@ -106,17 +104,17 @@ LINE_QUANTITIES: dict[str, LineQuantity] = {
 
 
 def open_lines(t: Tables, names: Sequence[str]) -> DataFrame:
-    """Open quantity per kind, part, location group and unit for several quantities.
+    """Open quantities per part, location group and unit, one column for each of several quantities.
 
-    Quantities over the same header and line share one join: a joined line is copied
-    once per kind it counts for, with that kind's location. Sums per item come before
-    the item tables are joined, so a hot item shrinks to a few rows per task.
+    Quantities over the same header and line share one join and one aggregate: a line is
+    added to the sum of every quantity it counts for. Sums per item come before the item
+    tables are joined, so a hot item shrinks to a few rows per task.
     """
     families: dict[tuple[str, str], list[str]] = {}
     for name in names:
         spec = LINE_QUANTITIES[name]
         families.setdefault((spec.header, spec.line), []).append(name)
-    return stack([_family(t, kinds) for kinds in families.values()])
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [_family(t, kinds) for kinds in families.values()])
 
 
 def _family(t: Tables, kinds: Sequence[str]) -> DataFrame:
@@ -134,34 +132,39 @@ def _family(t: Tables, kinds: Sequence[str]) -> DataFrame:
     )
     places = sorted({s.location for s in specs.values()})
     headers = t[first.header].select(first.link, F.col(_STATUS[first.header]).alias("h_status"), *places)
-    joined = lines.join(headers, first.link)
-    if len(specs) == 1:
-        tagged = joined.filter(first.lines()).select("*", F.lit(kinds[0]).alias("kind"), F.col(first.location).alias("place"))
+    # The union of the conditions reaches both scans before the shuffle.
+    joined = lines.join(headers, first.link).filter(reduce(or_, (s.lines() for s in specs.values())))
+    at = {p: [k for k, s in specs.items() if s.location == p] for p in places}
+    summed = joined.groupBy("l_item", "l_uom", *places).agg(
+        *[F.sum(F.when(s.lines(), F.col("l_qty"))).alias(k) for k, s in specs.items()],
+        *[F.count_if(reduce(or_, (specs[k].lines() for k in at[p]))).alias(f"n_{p}") for p in places],
+    )
+    if len(places) > 1:
+        # Transfers count at two places: one row of sums for each of them.
+        empty = {k: F.lit(None).cast(summed.schema[k].dataType) for k in kinds}
+        rows = [
+            F.struct(F.col(p).alias("location_group_id"), F.col(f"n_{p}").alias("n"), *[(F.col(k) if k in at[p] else empty[k]).alias(k) for k in kinds])
+            for p in places
+        ]
+        summed = summed.select("l_item", "l_uom", F.inline(F.array(*rows))).filter(F.col("n") > 0)
     else:
-        # The union of the conditions reaches both scans before the shuffle.
-        joined = joined.filter(reduce(or_, (s.lines() for s in specs.values())))
-        counts_for = F.array(*[
-            F.struct(F.lit(k).alias("kind"), F.col(s.location).alias("place"), s.lines().alias("hit")) for k, s in specs.items()
-        ])
-        tagged = joined.select("*", F.inline(F.filter(counts_for, lambda c: c["hit"])))
-    summed = tagged.groupBy("kind", "l_item", F.col("place").alias("location_group_id"), "l_uom").agg(F.sum("l_qty").alias("l_qty"))
+        summed = summed.withColumnRenamed(places[0], "location_group_id")
     if first.via_product:
         products = t["fishbowl_product"].select(F.col("product_id").alias("l_item"), "part_id")
         summed = summed.join(products, "l_item")
     else:
         summed = summed.withColumnRenamed("l_item", "part_id")
-    return summed.select("kind", *GROUP, "l_uom", "l_qty")
+    return summed.select(*GROUP, "l_uom", *kinds)
 
 
-def in_part_units(t: Tables, lines: DataFrame) -> DataFrame:
-    """Open lines as (kind, part, location group, quantity) in the part's own unit."""
+def in_part_units(t: Tables, lines: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """Open lines per part and location group, with every quantity in the part's own unit."""
     parts = t["fishbowl_part"].select("part_id", "default_uom_id")
     conversions = t["fishbowl_uomconversion"].select(
         F.col("to_uom_id").alias("default_uom_id"), F.col("from_uom_id").alias("l_uom"), "multiply_factor", "factor"
     )
-    qty = uom_convert("l_qty", "l_uom", "default_uom_id", "multiply_factor", "factor")
     return lines.join(parts, "part_id").join(conversions, ["default_uom_id", "l_uom"], "left").select(
-        "kind", *GROUP, qty.alias("quantity")
+        *GROUP, *[uom_convert(k, "l_uom", "default_uom_id", "multiply_factor", "factor").alias(k) for k in kinds]
     )
 
 
@@ -194,18 +197,14 @@ def _placed_tags(t: Tables) -> DataFrame:
 
 
 def stock_tags(t: Tables, kinds: Sequence[str] = tuple(_TAG_KINDS)) -> DataFrame:
-    """Tag quantities as (kind, part, location group, quantity), from one join."""
-    parts = F.array(*[
-        F.struct(F.lit(k).alias("kind"), _TAG_KINDS[k][0]().alias("quantity"), _TAG_KINDS[k][1]().alias("hit")) for k in kinds
-    ])
-    stock = _placed_tags(t).filter(F.col("tag_type_id").isin(30, 40))
-    return stock.select(*GROUP, F.inline(F.filter(parts, lambda p: p["hit"]))).groupBy("kind", *GROUP).agg(
-        F.sum("quantity").alias("quantity")
-    )
+    """Tag quantities per part and location group, one column each, from one join."""
+    conditions = {k: _TAG_KINDS[k][1]() for k in kinds}
+    stock = _placed_tags(t).filter(F.col("tag_type_id").isin(30, 40)).filter(reduce(or_, conditions.values()))
+    return stock.groupBy(*GROUP).agg(*[F.sum(F.when(conditions[k], _TAG_KINDS[k][0]())).alias(k) for k in kinds])
 
 
 def _tag_total(t: Tables, kind: str) -> DataFrame:
-    return stock_tags(t, [kind]).select(*GROUP, F.coalesce("quantity", F.lit(0)).alias("quantity_" + kind))
+    return stock_tags(t, [kind]).select(*GROUP, F.coalesce(kind, F.lit(0)).alias("quantity_" + kind))
 
 
 def on_hand(t: Tables) -> DataFrame:
@@ -230,7 +229,8 @@ _ON_ORDER = ("on_order_so", "on_order_po", "on_order_to_send", "on_order_to_rece
 
 
 def _total(t: Tables, names: Sequence[str], out: str) -> DataFrame:
-    return in_part_units(t, open_lines(t, names)).groupBy(*GROUP).agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias(out))
+    lines = in_part_units(t, open_lines(t, names), names)
+    return lines.groupBy(*GROUP).agg(reduce(add, [F.coalesce(F.sum(k), F.lit(0)) for k in names]).alias(out))
 
 
 def allocated(t: Tables) -> DataFrame:
@@ -247,12 +247,11 @@ def quantities(t: Tables) -> DataFrame:
     The overall allocated total is not a column here, and a part and group known
     to it is known to one of its branches, so it is left out of the union.
     """
-    lines = in_part_units(t, open_lines(t, list(LINE_QUANTITIES)))
-    tags = stock_tags(t)
-    everything = lines.unionByName(tags)
-    wide = pivot_sum(everything, GROUP, "kind", "quantity", {
-        **{k: "quantity_" + k for k in _TAG_KINDS}, **{k: "quantity_" + k for k in LINE_QUANTITIES},
-    })
+    lines = in_part_units(t, open_lines(t, list(LINE_QUANTITIES)), list(LINE_QUANTITIES))
+    everything = lines.unionByName(stock_tags(t), allowMissingColumns=True)
+    wide = everything.groupBy(*GROUP).agg(
+        *[F.coalesce(F.sum(k), F.lit(0)).alias("quantity_" + k) for k in (*_TAG_KINDS, *LINE_QUANTITIES)]
+    )
     return wide.select(
         *GROUP, "quantity_on_hand", "quantity_allocated_po", "quantity_allocated_so", "quantity_allocated_mo",
         (F.col("quantity_allocated_to_receive") + F.col("quantity_allocated_to_send")).alias("quantity_allocated_transfer_order"),
