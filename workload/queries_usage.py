@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stocktally.plans import quality, usage
 from stocktally.session import shared_folder
-from stocktally.sources import sinks
+from stocktally.sources import readers, sinks
 from stocktally.streaming import live
 from workload.registry import add
 
@@ -358,3 +358,49 @@ def _merge_months(t):
 add("merge_by_month", _merge_months,
     """select nullif(o_orderkey, 1) as o_orderkey, case when m then o_totalprice + 1 else o_totalprice end as o_totalprice, case when m then 'x:1' else mm end as mm
  from (select o_orderkey, o_totalprice, strftime(o_orderdate, '%m') as mm, strftime(o_orderdate, '%m') = '01' or o_orderkey = 1 as m from orders)""", {"o_totalprice": 2})
+
+
+# --- sources: files written from the given tables and read back ------------------------------
+def _landing(t):
+    spark = t["orders"].sparkSession
+    root = _scratch(spark, "landing")
+    t["orders"].write.parquet(f"{root}/fishbowl/so")
+    t["customer"].write.parquet(f"{root}/magento/customer_entity")
+    found = readers.read_landing(spark, root + "/", ["fishbowl.so", "magento.customer_entity"])
+    return found["fishbowl.so"].join(found["magento.customer_entity"].select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey")
+
+
+add("source_landing", _landing, "select o.*, c_name from orders o join customer on c_custkey = o_custkey")
+
+
+def _invoices(t):
+    folder = _scratch(t["lineitem"].sparkSession, "invoices")
+    rows = t["lineitem"].select(F.concat(F.lit("T"), F.col("l_orderkey") % 500).alias("tracking_number"), F.col("l_tax").alias("net_amount"))
+    rows.write.option("header", True).csv(folder)
+    read = readers.read_invoices(t["lineitem"].sparkSession, folder)
+    return read.groupBy("tracking_number").agg(F.sum("net_amount").alias("net_amount"), F.count(F.lit(1)).alias("lines"))
+
+
+add("source_invoice_csv", _invoices,
+    "select 'T' || (l_orderkey % 500) as tracking_number, sum(l_tax) as net_amount, count(*) as lines from lineitem group by 1", {"net_amount": 4})
+
+
+def _seed(t):
+    folder = _scratch(t["nation"].sparkSession, "seed")
+    t["nation"].select(F.col("n_nationkey").alias("customer_group_id"), F.col("n_name").alias("customer_group_code")).write.option("header", True).csv(folder)
+    return readers.read_seed(t["nation"].sparkSession, folder)
+
+
+add("source_seed_csv", _seed, "select cast(n_nationkey as int) as customer_group_id, n_name as customer_group_code from nation")
+
+
+def _dated(t):
+    """Change files laid out by year and month, read through a pattern: the first half of each year only."""
+    spark = t["orders"].sparkSession
+    root = _scratch(spark, "dated")
+    dated = t["orders"].select("*", F.date_format("o_orderdate", "yyyy").alias("y"), F.date_format("o_orderdate", "MM").alias("m"))
+    dated.write.partitionBy("y", "m").parquet(root)
+    return readers.read_cdc_files(spark, f"{root}/y=*/m=0[1-6]", t["orders"].schema)
+
+
+add("source_dated_files", _dated, "select * from orders where month(o_orderdate) <= 6")
