@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from stocktally.config import DEFAULT, RetailConfig
+from stocktally.operators.history import segment_snapshot
 from stocktally.plans import costs, customers, inventory, products, purchasing, sales
+from stocktally.session import cut_lineage
 from stocktally.sources import silver
-from stocktally.sources.sinks import write_table
+from stocktally.sources.sinks import archive_then_overwrite, merge_by_key, read_merged, replace_table, table_exists, write_table
 from stocktally.sources.tables import Tables
 
 # Read by many models: written once, so later reads scan files instead of
@@ -44,3 +46,38 @@ def materialize(tables: Tables, root: str, names: Sequence[str] = SHARED) -> Non
             path = f"{root}/{name}"
             write_table(frame, path)
             tables.put(name, frame.sparkSession.read.parquet(path))
+
+
+def sales_by_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("sold_month", F.date_format("created_at", "yyyy-MM"))
+
+
+def refresh(
+    tables: Tables, root: str, as_of: str, cfg: RetailConfig = DEFAULT, full: bool = False, forecasts: Mapping[str, DataFrame] | None = None,
+) -> None:
+    """One run of the pipeline into a folder.
+
+    f_sales is written whole the first time (or when `full`), by month; later runs merge
+    the rows of recently touched orders. segment_history gets a snapshot. Each forecast,
+    named by its type, replaces the one of that type in f_forecast after that has gone to
+    f_forecast_history. A run that stopped can be repeated with the same as_of.
+    """
+    spark = tables["f_sales"].sparkSession
+    stored, segments = f"{root}/f_sales", f"{root}/segment_history"
+    if full or not table_exists(spark, stored):
+        write_table(sales_by_month(tables["f_sales"]), stored, partition_by=["sold_month"])
+    else:
+        merge_by_key(spark, stored, sales_by_month(sales.sales_increment(tables, as_of, cfg)), ["id"], "sold_month")
+    if "d_customer_segmentation" in set(tables):
+        history = spark.read.parquet(segments) if table_exists(spark, segments) else None
+        taken = history is not None and not history.filter(F.col("valid_from") == F.lit(as_of).cast("timestamp")).isEmpty()
+        if not taken:
+            replace_table(spark, cut_lineage(segment_snapshot(tables["d_customer_segmentation"], history, as_of), "segments"), segments)
+    for kind, rows in (forecasts or {}).items():
+        archive_then_overwrite(spark, f"{root}/f_forecast", f"{root}/f_forecast_history", rows, "forecast_type", kind, as_of)
+
+
+def stored_sales(tables: Tables, root: str) -> DataFrame:
+    """f_sales as refresh has stored it."""
+    like = sales_by_month(tables["f_sales"])
+    return read_merged(like.sparkSession, f"{root}/f_sales", like, "sold_month").drop("sold_month")

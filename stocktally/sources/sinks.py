@@ -60,13 +60,16 @@ def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return _same_key(target, batch, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
-def _replace(spark: SparkSession, df: DataFrame, path: str) -> None:
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Write beside the table, then swap the folders. A stop in between loses nothing: see table_exists."""
     fs, folder = _hadoop(spark, path)
     fresh, before = folder.suffix(f"-new-{uuid.uuid4().hex}"), folder.suffix("-before")
     write_table(df, fresh.toString())
-    fs.delete(before, True)
-    fs.rename(folder, before)
+    if fs.exists(folder):
+        fs.delete(before, True)
+        fs.rename(folder, before)
+    else:
+        fs.mkdirs(folder.getParent())
     fs.rename(fresh, folder)
     fs.delete(before, True)
 
@@ -101,7 +104,7 @@ def merge_by_key(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
         return
     target = read_merged(spark, path, batch, partition_by)
     if partition_by is None:
-        _replace(spark, merged(target, batch, keys), path)
+        replace_table(spark, merged(target, batch, keys), path)
         return
     # Key and partition columns only: a narrow scan of the target.
     folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)

@@ -261,6 +261,11 @@ add("days_of_supply", _supply, "select * from {supply}", {c: 3 for c in _SUP.spl
 add("stock_overview", lambda t: bi.stock_overview(_supply(t)).select("sku", "daily_avg"), "select sku, daily_avg from {supply} order by daily_avg desc nulls last, sku limit 50", "daily_avg")
 add("low_stock", lambda t: bi.low_stock(_supply(t)).select("sku", "days_of_supply"), "select sku, days_of_supply from {supply} order by days_of_supply asc nulls first, sku limit 50", "days_of_supply")
 add("overstock", lambda t: bi.overstock(_supply(t)).select("sku", "days_of_supply"), "select sku, days_of_supply from {supply} order by days_of_supply desc nulls last, sku limit 50", "days_of_supply")
+for _dim, _column in (("category", "attribute_set"), ("caliber", "caliber"), ("projectile", "projectile")):
+    add(f"stock_by_{_dim}", lambda t, c=_column: bi.stock_breakdown(
+        t["f_inventoryview"].select(F.col("part_number").alias("sku"), "extended_cost").join(t["d_product"].select("sku", c), "sku"), c, "extended_cost"),
+        f"""select label, value, coalesce(value / nullif(sum(value) over (), 0) * 100, 0) as share from (select {_column} as label, coalesce(sum(extended_cost), 0) as value
+ from {{f_inventoryview}} join {{d_product}} on sku = part_number where {_column} is not null group by 1 order by 2 desc, 1 limit 15)""", {"value": 2, "share": 3})
 add("monthly_receipts", lambda t: bi.monthly_receipts(t["f_pos"]),
     "select strftime(datereceived, '%Y-%m') as month_key, sum(qty) as qty, avg(unit_cost) as avg_cost from {f_pos} where datereceived is not null and qty <> 0 group by 1", "qty avg_cost")
 add("purchase_order_rollup", lambda t: bi.order_rollup(t["f_pos"]),

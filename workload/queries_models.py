@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from stocktally.plans import costs, customers, purchasing, sales
+import uuid
+
+from pyspark.sql import functions as F
+
+from stocktally.plans import build, costs, customers, purchasing, sales
+from stocktally.session import shared_folder
+from stocktally.sources.sinks import write_table
 from workload.registry import add
 from workload.tables import AS_OF, CFG
 
@@ -78,3 +84,20 @@ model("d_store")
 add("d_customer", lambda t: t["d_customer"],
     "select " + ", ".join(f"{c} as {o}" for c, o in customers.CUSTOMER_COLUMNS.items()) + " from {magento_customer_entity}")
 add("d_vendor", lambda t: t["d_vendor"], "select " + ", ".join(customers.VENDOR_COLUMNS) + " from {fishbowl_vendors}")
+
+
+def _refreshed(t):
+    """A stored table with older rows, some of them outdated, after two incremental runs: it equals a full build."""
+    spark = t["orders"].sparkSession
+    root = f"{shared_folder(spark)}/refresh-{uuid.uuid4().hex}"
+    old = t["f_sales"].filter(F.col("created_at") < F.date_sub(F.lit(AS_OF).cast("date"), CFG.lookback_days - 2))
+    recent = F.col("created_at") >= F.date_sub(F.lit(AS_OF).cast("date"), CFG.lookback_days)
+    stale = old.withColumn("row_total", F.when(recent, F.col("row_total") + 1).otherwise(F.col("row_total")))
+    write_table(build.sales_by_month(stale), f"{root}/f_sales", partition_by=["sold_month"])
+    for _ in range(2):
+        build.refresh(t, root, AS_OF, CFG)
+    assert spark.read.parquet(f"{root}/segment_history").count() == t["d_customer_segmentation"].count()
+    return build.stored_sales(t, root)
+
+
+add("pipeline_refresh_equals_full", _refreshed, "select * from {f_sales}", SALES_DIGITS)
