@@ -100,23 +100,30 @@ def fit(sample: DataFrame, dims: int = 64, neighbours: int = 11, sharpness: floa
         [("doc_id", "ascending"), ("__label", "ascending")]
     )
     labels = np.array(rows.column("__label").to_pylist(), np.float64)
-    counts = np.zeros((len(labels), _TERMS), np.float32)
-    for i, cell in enumerate(rows.column("terms").to_pylist()):
-        at, n = np.frombuffer(cell, np.int32).reshape(2, -1)
-        counts[i, at] = n
-    idf = np.log((1 + len(labels)) / (1 + (counts > 0).sum(0)))
+    cells = [np.frombuffer(c, np.int32).reshape(2, -1) for c in rows.column("terms").to_pylist()]
+    seen = np.zeros(_TERMS)
+    for at, _ in cells:
+        seen[at] += 1
+    idf = np.log((1 + len(labels)) / (1 + seen))
+    width = _TERMS + _SHAPES + 1
     if not len(labels):
-        return QualityModel(idf, np.zeros((_TERMS + _SHAPES + 1, 1), np.float32), np.zeros((0, 1), np.float32), labels, neighbours, sharpness)
-    x = weighted(counts, idf)
+        return QualityModel(idf, np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), labels, neighbours, sharpness)
+    # One matrix of single precision; counts exist for one block of rows at a time.
+    x = np.empty((len(labels), width), np.float32)
+    for a, b in chunks(np.ones(len(cells), np.int64), _ROWS):
+        counts = np.zeros((b - a, _TERMS), np.int64)
+        for i, (at, n) in enumerate(cells[a:b]):
+            counts[i, at] = n
+        x[a:b] = weighted(counts, idf)
     dims = min(dims, *x.shape)
     # Truncated singular vectors by subspace iteration from a fixed start.
     q = np.random.default_rng(5).normal(size=(x.shape[1], min(dims + 16, x.shape[1]))).astype(np.float32)
     for _ in range(4):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     basis = (q @ np.linalg.svd(x @ q, full_matrices=False)[2].T)[:, :dims].astype(np.float32)
-    model = QualityModel(idf, basis, np.zeros((0, dims), np.float32), labels, neighbours, sharpness)
-    model.vectors = model.embed(counts)
-    return model
+    vectors = x @ basis
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    return QualityModel(idf, basis, vectors, labels, neighbours, sharpness)
 
 
 def classify_quality(
