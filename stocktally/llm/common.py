@@ -174,7 +174,7 @@ def join_small(big: DataFrame, small: DataFrame, on: str, how: str = "left", mos
     return big.join(small, on, how)
 
 
-def positions(df: DataFrame, group: list[str], order: list[Column], spread: list[str], out: str, per_bucket: int = 20_000) -> DataFrame:
+def positions(df: DataFrame, group: list[str], order: list[Column], spread: list[str], out: str, per_bucket: int = 2_000) -> DataFrame:
     """Gapless positions from 0 of the rows of each group, without one task per group.
 
     The rows of a group are spread by a hash over buckets of about per_bucket rows; a row's position is the

@@ -37,7 +37,7 @@ def source_targets(sizes: DataFrame, weights: list[int], ceiling: int) -> DataFr
     return s.select("source", "source_size", "source_rows", F.when(F.col("fits"), share).otherwise(F.col("bound").cast("double")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, *, weights: list[int] = [5, 2, 1], ceiling: int = 3, seed: int = 0, per_bucket: int = 20_000) -> DataFrame:
+def mix_sources(docs: DataFrame, *, weights: list[int] = [5, 2, 1], ceiling: int = 3, seed: int = 0, per_bucket: int = 2_000) -> DataFrame:
     """docs with size, source_size, target, copies and taken.
 
     Every document of a source has the same expected number of copies, target / source_size. Documents of a source

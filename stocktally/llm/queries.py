@@ -147,7 +147,7 @@ WITH sized AS (
   SELECT source, source_size, n, CASE WHEN fits THEN (weight * level.remaining)::DOUBLE / level.open::DOUBLE ELSE bound::DOUBLE END AS target
   FROM fitting LEFT JOIN level ON TRUE
 ), spread AS (
-  SELECT s.*, source_size, target, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(n / 20000)::BIGINT AS bucket,
+  SELECT s.*, source_size, target, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(n / 2000)::BIGINT AS bucket,
     CASE WHEN source_size > 0 THEN target / source_size::DOUBLE ELSE 0 END AS per,
     ('0x' || substr(md5('0:' || coalesce(s.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source

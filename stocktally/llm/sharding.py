@@ -125,7 +125,7 @@ def grow_tree(meta: DataFrame, dims: int, shards: int) -> Cell:
 
 
 def shard_documents(
-    docs: DataFrame, *, shards: int | None = None, target_bytes: int = 1 << 30, numbers: list[Column] | None = None, per_bucket: int = 20_000,
+    docs: DataFrame, *, shards: int | None = None, target_bytes: int = 1 << 30, numbers: list[Column] | None = None, per_bucket: int = 2_000,
 ) -> DataFrame:
     """docs with size, text_crc32, shard and slot. Shards are cells of a k-d tree with nearly equal bytes.
 

@@ -124,6 +124,16 @@ def test_mix_positions_over_many_buckets(documents):
         assert abs(r["c"] - r["f"] * r["n"]) <= 1
 
 
+def test_mix_equals_its_statement_over_many_buckets(spark, documents):
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    want = c.execute(Q.ORACLE_SQL["op2_source_mix"].replace("n / 2000", "n / 9")).fetchall()
+    got = mix_sources(documents, per_bucket=9).select("doc_id", "size", "source_size", "target", "taken").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 # --- toxicity and quality
 
 
