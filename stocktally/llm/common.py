@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from stocktally.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"  # as bytes.split() cuts UTF-8
-CHUNK_BYTES = 4 << 20  # text that one numpy step holds
+CHUNK_BYTES = 2 << 20  # text that one numpy step holds
 BROADCAST_ROWS = 200_000  # rows of a narrow table that may be broadcast
 
 
@@ -42,6 +42,16 @@ def chunks(sizes: np.ndarray, most: int = CHUNK_BYTES, rows: int = 4096) -> Iter
         yield start, len(sizes)
 
 
+def release() -> None:
+    """Give freed memory back: a worker is used again by later tasks, beside an executor of bounded size."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def text_sizes(texts: pa.Array) -> np.ndarray:
     import pyarrow.compute as pc
 
@@ -74,6 +84,7 @@ def with_columns(
                 arrays = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 arrays += [m if isinstance(m, pa.Array) else pa.array(m, t) for m, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, [*names, *fields.names])
+            release()
 
     out = T.StructType([*kept.schema.fields, *[T.StructField(f.name, f.dataType, True) for f in fields]])
     return source.mapInArrow(run, out)

@@ -12,6 +12,7 @@ from stocktally.llm.common import Shared, Words, bounded_sample, chunks, collect
 
 BUCKETS = 1 << 15
 _LETTER = re.compile(r"[^\W\d_]")
+_BLOCK = 8192  # words whose subword vectors are held at a time
 _GRAMS = (2, 3, 4)  # bytes of a subword; a word's ends are zero bytes
 
 
@@ -30,7 +31,11 @@ class LanguageModel:
             return np.full((n, len(self.languages)), 1 / max(1, len(self.languages)))
         codes, of = subwords(words)
         starts = np.searchsorted(of, np.arange(len(words.distinct)))
-        by_word = np.add.reduceat(self.embedding[codes].astype(np.float64), starts, axis=0)
+        by_word = np.empty((len(starts), self.embedding.shape[1]), np.float32)
+        for a in range(0, len(starts), _BLOCK):
+            first = starts[a : a + _BLOCK]
+            end = starts[a + _BLOCK] if a + _BLOCK < len(starts) else len(codes)
+            by_word[a : a + _BLOCK] = np.add.reduceat(self.embedding[codes[first[0] : end]], first - first[0], axis=0)
         sizes = np.diff(np.append(starts, len(codes)))
         mean = words.sums(by_word) / np.maximum(words.sums(sizes), 1)[:, None]
         return softmax((mean @ self.weights + self.bias) / self.temperature)
@@ -181,6 +186,6 @@ def identify_language(
                 accepted.append(known and s >= model.least)
         return [names, scores, accepted]
 
-    scored = with_columns(docs, "text", "lang_pred string, score double, accepted boolean", compute, keep=None if keep is None else list({*keep, "doc_id"}))
+    scored = with_columns(docs, "text", "lang_pred string, score double, accepted boolean", compute, most=1 << 20, keep=None if keep is None else list({*keep, "doc_id"}))
     out = scored.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False)))
     return out if keep is None else out.select(*keep, "held_out", "lang_pred", "score", "accepted")

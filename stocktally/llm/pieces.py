@@ -14,8 +14,8 @@ from stocktally.llm.common import Shared, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
-_CACHED = 400_000  # segments a task remembers
-_KNOWN_PAIRS = 1_000_000
+_CACHED = 300_000  # segments a task remembers
+_KNOWN_PAIRS = 300_000
 
 
 @dataclass
