@@ -167,6 +167,47 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, documents):
     assert a == b
 
 
+def test_toxicity_counts_every_gram(spark):
+    """An expression shown once counts beside more than two million other n-grams."""
+    rng = np.random.default_rng(4)
+    letters = rng.integers(97, 123, (270_000, 12)).astype(np.uint8)
+    filler = [" ".join(bytes(w).decode() for w in letters[a : a + 2700]) for a in range(0, len(letters), 2700)]
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)]
+    data = list(zip(ids, filler, strict=False)) + [(ids[100], "ßab"), (1000, "ßab again"), (1001, "again")]
+    labels = [(i, 1, k % 2) for k, i in enumerate(ids[:100])] + [(ids[100], 1, 1)]
+    got = score_toxicity(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(labels, LABELS), keep=["doc_id"])
+    ratio = {r["doc_id"]: r["ratio"] for r in got.filter("doc_id >= 1000").collect()}
+    assert ratio[1000] > 1 and ratio[1001] == 0
+
+
+def test_gram_ratios_against_numpy(spark):
+    from stocktally.llm import toxicity as tox
+    from stocktally.llm.common import Words
+
+    def pooled(codes, n, width):
+        if width == 0:
+            return np.full(len(codes), 1 / 256)
+        suffix, to_suffix, kinds = np.unique(codes & np.uint64((1 << 8 * (width - 1)) - 1), return_inverse=True, return_counts=True)
+        lower = pooled(suffix, kinds.astype(float), width - 1)[to_suffix]
+        _, at = np.unique(codes >> np.uint64(8), return_inverse=True)
+        total, fan = np.bincount(at, n), np.bincount(at)
+        return np.maximum(n - 0.75, 0) / total[at] + 0.75 * fan[at] / total[at] * lower
+
+    text = " ".join(r.text for r in table(spark, SMALL, "documents").limit(5).collect()) + " é你 😀😀"
+    codes = np.unique(tox.word_grams(Words([text]))[0])
+    rng = np.random.default_rng(3)
+    n = rng.integers(0, 30, (2, len(codes)))
+    n[0] += n.sum(0) == 0
+    _, at = np.unique(codes >> np.uint64(8), return_inverse=True)
+    totals = [np.bincount(at, x)[at] for x in n]
+    back, p = 20 / (np.minimum(*totals) + 20), pooled(codes, n.sum(0).astype(float), 8)
+    logs = [np.log((1 - back) * x / np.maximum(t, 1) + back * p) for x, t in zip(n, totals, strict=True)]
+    counts = spark.createDataFrame(list(zip(codes.view(np.int64).tolist(), *n.tolist(), strict=True)), "gram long, toxic long, ordinary long")
+    got = dict(map(tuple, tox.gram_ratios(counts, 20.0).collect()))
+    want = dict(zip(codes.view(np.int64).tolist(), logs[0] - logs[1], strict=True))
+    assert got.keys() == want.keys() and all(abs(got[g] / tox._UNIT - want[g]) < 1e-6 for g in want)
+
+
 # --- language
 
 
