@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stocktally.llm.common import bounded_sample, without
+from stocktally.llm.common import BROADCAST_ROWS, bounded_sample, without
 from stocktally.session import cut_lineage
 
 FEATURES = ["length", "host_length", "depth", "digit_ratio", "entropy", "parameters", "has_fragment", "has_extension", "host_labels", "suffix_blocked", "suffix_weight"]
@@ -61,9 +61,10 @@ def filter_urls(
     """pages with host, path, rule, verdict (allow or block) and score (probability of block; null where a rule decides).
 
     The labelled URLs are those that a rule decides; at most about `sample_per_class` of each verdict, chosen by a
-    hash of the key, train the trees, and bound the table of suffix statistics (share of blocked URLs under a host's
-    last label, smoothed by one URL at the overall share), which is broadcast. Every other URL is scored in the JVM.
-    Only the columns of pages that are asked for later are read; nothing is shuffled.
+    hash of the key, train the trees, each with the weight of the decided URLs it stands for. The suffix statistics
+    (share of blocked URLs under a host's last label, smoothed by one URL at the overall share) come from all decided
+    URLs; their table is broadcast if it is small. Every other URL is scored in the JVM. Only the columns of pages
+    that are asked for later are read.
 
     A null URL or one without :// has empty host and path, fits no rule and is scored like any other. Copies get the
     same verdict. If no rule decides any URL, or all decided ones agree, other URLs get allow, or that verdict. An
@@ -78,27 +79,33 @@ def filter_urls(
     names = [f"__f_{f}" for f in FEATURES[:9]]
     labelled = judged.filter(F.col("__verdict").isNotNull()).select(key, "__suffix", "__verdict", *names)
     sample = cut_lineage(bounded_sample(labelled, key, sample_per_class, "__verdict").coalesce(4), "urls")
-    counts = {r["__verdict"]: r["count"] for r in sample.groupBy("__verdict").count().collect()}
+    block = (F.col("__verdict") == "block").cast("double")
+    suffixes = cut_lineage(labelled.groupBy("__suffix").agg(F.count(F.lit(1)).alias("n"), F.sum(block).alias("blocked")), "suffixes")
+    counts = {r["__verdict"]: r["count"] for r in labelled.groupBy("__verdict").count().collect()}
+    shown = {r["__verdict"]: r["count"] for r in sample.groupBy("__verdict").count().collect()}
     kept = [F.col(f"`{c}`") for c in pages.columns]
     base = [F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule")]
     if len(counts) < 2:
         usual = next(iter(counts), "allow")
         return judged.select(*kept, *base, F.coalesce("__verdict", F.lit(usual)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     overall = counts["block"] / sum(counts.values())
-    blocked = F.sum((F.col("__verdict") == "block").cast("double"))
-    # At most one row per sampled URL.
-    suffixes = sample.groupBy("__suffix").agg(
-        ((blocked + overall) / (F.count(F.lit(1)) + 1)).alias("__f_suffix_blocked"), F.log1p(F.count(F.lit(1))).alias("__f_suffix_weight")
+    small = suffixes.count() <= BROADCAST_ROWS
+    suffixes = suffixes.select(
+        "__suffix", ((F.col("blocked") + overall) / (F.col("n") + 1)).alias("__f_suffix_blocked"), F.log1p("n").alias("__f_suffix_weight")
     )
-    suffixes = cut_lineage(suffixes, "suffixes")
+    suffixes = F.broadcast(suffixes) if small else suffixes
 
     def assembled(df: DataFrame) -> DataFrame:
-        df = df.join(F.broadcast(suffixes), "__suffix", "left").fillna({"__f_suffix_blocked": overall, "__f_suffix_weight": 0.0})
+        df = df.join(suffixes, "__suffix", "left").fillna({"__f_suffix_blocked": overall, "__f_suffix_weight": 0.0})
         return VectorAssembler(inputCols=[f"__f_{f}" for f in FEATURES], outputCol="__features").transform(df)
 
     learner = GBTClassifier(featuresCol="__features", labelCol="__block", maxIter=trees, maxDepth=depth, seed=1, checkpointInterval=-1)
+    learner.setWeightCol("__weight")
     learner.setRawPredictionCol("__raw").setProbabilityCol("__probability").setPredictionCol("__prediction")
-    training = assembled(sample.withColumn("__block", (F.col("__verdict") == "block").cast("double"))).select("__features", "__block")
+    weight = F.lit(0.0)
+    for word, n in shown.items():
+        weight = F.when(F.col("__verdict") == word, F.lit(counts[word] / n)).otherwise(weight)
+    training = assembled(sample.withColumns({"__block": block, "__weight": weight})).select("__features", "__block", "__weight")
     model: GBTClassificationModel = learner.fit(training)
     scored = model.transform(assembled(judged)).withColumn("__score", vector_to_array("__probability")[1])
     own = F.when(F.col("__score") >= threshold, F.lit("block")).otherwise(F.lit("allow"))

@@ -395,6 +395,14 @@ def test_url_trees_learn_what_they_are_shown(spark):
     assert all(r["verdict"] == ("allow" if r["page_id"] % 2 else "block") for r in got)
 
 
+def test_url_scores_keep_the_natural_mix(spark):
+    data = [(i, f"https://h{i % 7}.com/{'b' if i // 90 == 3 else 'a'}{100 + i * 7 % 90}") for i in range(1000)]
+    data += [(1000 + i, f"https://h{i % 7}.com/d{100 + i * 7 % 90}") for i in range(50)]
+    judged = filter_urls(spark.createDataFrame(data, "page_id long, url string"), [("com/a", "allow"), ("com/b", "block")], sample_per_class=60)
+    scores = [r["score"] for r in rows(judged) if r["page_id"] >= 1000]
+    assert len(scores) == 50 and np.mean(scores) < 0.3
+
+
 # --- pieces
 
 
