@@ -215,17 +215,25 @@ def collected(df: DataFrame) -> pa.Table:
 
 
 class Shared:
-    """A value of bounded size, sent to each executor once. Tasks read it as .value."""
+    """A value of bounded size, sent to each executor once. Tasks read it as .value.
+
+    A Python worker unpacks it once and keeps it, with what .kept() made of it, while it serves tasks that use it:
+    both hang on the broadcast, which the worker holds between tasks.
+    """
 
     def __init__(self, spark: SparkSession, value):
         self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-        self._value = None
-
-    def __getstate__(self):
-        return {"_sent": self._sent, "_value": None}
 
     @property
     def value(self):
-        if self._value is None:
-            self._value = cloudpickle.loads(self._sent.value)
-        return self._value
+        held = self._sent.__dict__
+        if "_held" not in held:
+            held["_held"] = cloudpickle.loads(self._sent.value)
+        return held["_held"]
+
+    def kept(self, make: Callable):
+        """make(value), once for each worker."""
+        held = self._sent.__dict__
+        if "_made" not in held:
+            held["_made"] = make(self.value)
+        return held["_made"]

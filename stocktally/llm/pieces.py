@@ -14,7 +14,7 @@ from stocktally.llm.common import Shared, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
-_CACHED = 300_000  # segments a task remembers
+_CACHED = 300_000  # segments of one of two generations that a worker remembers
 _KNOWN_PAIRS = 300_000
 
 
@@ -66,15 +66,25 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str | None, dict[str, bool]] = {}  # by the left piece
+        self.known_pairs = 0
         self.histories: dict[str, tuple | None] = {}
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.trie: dict[str, list] = {}  # a letter: the piece that ends here or None, and what may follow
         for piece in vocabulary.pieces:
             node = [None, self.trie]
             for letter in piece:
                 node = node[1].setdefault(letter, [None, {}])
             node[0] = piece
+        self.matcher = None  # of all pieces that end at a position, longest first
+        if vocabulary.pieces:
+            import ahocorasick
+
+            self.matcher = ahocorasick.Automaton()
+            for piece in vocabulary.pieces:
+                self.matcher.add_word(piece, (piece, len(piece)))
+            self.matcher.make_automaton()
         self.floor = min(vocabulary.scores.values(), default=0.0) - 10  # of a character without a piece
         # No piece reaches over these borders: before a run of blanks, around a line end, and between a Latin letter
         # and such signs as no piece has after one.
@@ -114,14 +124,22 @@ class Encoder:
 
         Each side merges as it does alone, the better step first, until a merge across the border comes first.
         """
-        right = self.history(piece)
-        if right is None or before is None or before not in self.v.pieces:
-            return right is not None
-        known = self.pairs.get((before, piece))
+        row = self.pairs.get(before)
+        if row is None:
+            row = self.pairs[before] = {}
+        known = row.get(piece)
         if known is None:
-            if len(self.pairs) > _KNOWN_PAIRS:
+            right = self.history(piece)
+            if right is None or before not in self.v.pieces:  # also at the beginning
+                known = right is not None
+            else:
+                known = self._apart(self.history(before), right)
+            if self.known_pairs > _KNOWN_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[before, piece] = self._apart(self.history(before), right)
+                self.known_pairs = 0
+                row = self.pairs[before] = {}
+            self.known_pairs += 1
+            row[piece] = known
         return known
 
     def _apart(self, left, right) -> bool:
@@ -189,31 +207,30 @@ class Encoder:
         yield from self._path(last, done, size)
 
     def within(self, text: str) -> list[str]:
-        """The pieces of a stretch that is shorter than the window, by merge ranks: stream() without a moving window."""
-        pairs, fits, size, trie = self.pairs, self.fits, len(text), self.trie
+        """The pieces of a stretch that is shorter than the window, by merge ranks: stream() without a moving window.
+
+        Here paths reach a position from all pieces that end there, longest first; by then all positions before are settled.
+        """
+        pairs, fits, size = self.pairs, self.fits, len(text)
         last: list[str | None] = [None] * (size + 1)
-        letters = list(text)
-        for start in range(size):
-            before = last[start]
-            if before is None and start:
-                before = last[start] = letters[start - 1]
-            follow, end = trie, start
-            for letter in letters[start:]:
-                node = follow.get(letter)
-                if node is None:
-                    break
-                end += 1
-                piece, follow = node
-                if piece is not None and last[end] is None:
-                    known = pairs.get((before, piece))
-                    if fits(before, piece) if known is None else known:
-                        last[end] = piece
-        if size and last[size] is None:
-            last[size] = text[size - 1]
+        nothing: dict[str, bool] = {}
+        for end, (piece, length) in self.matcher.iter(text) if self.matcher else ():
+            end += 1
+            if last[end] is None:
+                start = end - length
+                before = last[start]
+                if before is None and start:  # no piece ends there: a character without a piece
+                    before = last[start] = text[start - 1]
+                known = pairs.get(before, nothing).get(piece)
+                if fits(before, piece) if known is None else known:
+                    last[end] = piece
         out, at = [], size
         while at > 0:
-            out.append(last[at])
-            at -= len(last[at])
+            piece = last[at]
+            if piece is None:
+                piece = text[at - 1]
+            out.append(piece)
+            at -= len(piece)
         out.reverse()
         return out
 
@@ -244,17 +261,22 @@ class Encoder:
         text = _BLANK + text.replace(" ", _BLANK)
         if self.cut is None:
             return np.array(self.ids(text), np.int32)
-        cache, parts = self.cache, []
-        for segment in self.cut.findall(text):
-            cell = cache.get(segment)
+        segments = self.cut.findall(text)
+        cells = list(map(self.young.get, segments))
+        for at, cell in enumerate(cells):
             if cell is None:
-                cell = array("i", self.ids(segment)).tobytes()
-                if len(segment) <= 64:
-                    if len(cache) >= _CACHED:
-                        cache.clear()
-                    cache[segment] = cell
-            parts.append(cell)
-        return np.frombuffer(b"".join(parts), np.int32)
+                cells[at] = self._segment(segments[at])
+        return np.frombuffer(b"".join(cells), np.int32)
+
+    def _segment(self, segment: str) -> bytes:
+        cell = self.young.get(segment) or self.old.get(segment)
+        if cell is None:
+            cell = array("i", self.ids(segment)).tobytes()
+        if len(segment) <= 64:
+            if len(self.young) >= _CACHED:
+                self.old, self.young = self.young, {}
+            self.young[segment] = cell
+        return cell
 
 
 def text_of(vocabulary: Vocabulary, ids: list[int]) -> str:
@@ -267,7 +289,7 @@ def encode_pieces(docs: DataFrame, *, vocabulary: Vocabulary | None = None, path
     """docs with ids, n_ids and, if asked for, round_trip (decoding gives the text again).
 
     The ids are those of the model's own library. Between blanks and line ends, which no piece reaches over, all
-    paths meet; a task encodes each distinct stretch once and remembers a bounded number of them. A stretch of any
+    paths meet; a worker remembers the ids of a bounded number of distinct stretches, from one task to the next. A stretch of any
     length is searched in a window that ends at the last boundary shared by all paths.
 
     A null text has null ids, n_ids 0 and a null round_trip; an empty text has no ids. Characters without a piece
@@ -275,12 +297,9 @@ def encode_pieces(docs: DataFrame, *, vocabulary: Vocabulary | None = None, path
     An empty table gives an empty result. Input columns of the new names are replaced.
     """
     shared = Shared(docs.sparkSession, vocabulary or load(path))
-    encoders: dict[int, Encoder] = {}
 
     def compute(texts):
-        if not encoders:  # one for each task
-            encoders[0] = Encoder(shared.value)
-        encoder = encoders[0]
+        encoder = shared.kept(Encoder)
         cells = [encoder.encode(t) if t else np.zeros(0, np.int32) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
         null = pa.array([t is None for t in texts])
