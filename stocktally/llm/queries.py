@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stocktally.llm.common import table
 from stocktally.llm.lang_id import identify_language
+from stocktally.llm.line_dedup import dedup_lines
 from stocktally.llm.line_quality import LineRules, clean_lines
 from stocktally.llm.mixing import mix_sources
 from stocktally.llm.near_duplicates import near_duplicates
@@ -13,10 +14,13 @@ from stocktally.llm.neighbours import nearest
 from stocktally.llm.pieces import encode_pieces
 from stocktally.llm.quality_knn import classify_quality
 from stocktally.llm.sharding import shard_documents
+from stocktally.llm.token_alignment import ByteBpe, PieceModel, align_tokenizers
 from stocktally.llm.toxicity import score_toxicity
 from stocktally.llm.url_filter import filter_urls
+from stocktally.llm.whitening import by_component, whiten
 from stocktally.session import tune
 
+TOKENIZERS = "/opt/tokenizers"
 URL_RULES = [
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
 ]
@@ -74,6 +78,21 @@ def op10_language(spark, folder):
     return identify_language(_documents(spark, folder, "text", "lang"), keep=["doc_id"])
 
 
+def op11_whitening(spark, folder):
+    tune(spark)
+    return by_component(whiten(table(spark, folder, "embeddings"), components=8, keep=["vec_id"]), ["vec_id"])
+
+
+def op12_token_alignment(spark, folder):
+    a, b = ByteBpe.read(f"{TOKENIZERS}/byte_bpe_50k.json"), PieceModel.read(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return align_tokenizers(_documents(spark, folder, "text"), a, b, digest=True, keep=["doc_id"])
+
+
+def op13_line_dedup(spark, folder):
+    cleaned = dedup_lines(_documents(spark, folder, "text"), keep=["doc_id"])
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark, folder):
     import corpus_pipeline
 
@@ -82,7 +101,7 @@ def pipeline(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_quality, op2_source_mix, op3_toxicity, op4_near_duplicates, op5_quality, op6_nearest_vectors, op7_shards, op8_url_filter,
-    op9_pieces, op10_language, pipeline,
+    op9_pieces, op10_language, op11_whitening, op12_token_alignment, op13_line_dedup, pipeline,
 )}
 
 _LINE = LineRules()
@@ -182,4 +201,21 @@ SELECT doc_id, class_id, least(doc_id, coalesce(first, doc_id)) AS copy_of, coal
 FROM classes LEFT JOIN counted USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_line_quality": _OP1, "op2_source_mix": _OP2, "op4_near_duplicates": _OP4}
+_OP13 = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM texts
+), keyed AS (
+  SELECT *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), often AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3
+), judged AS (
+  SELECT r, k.doc_id, pos, line, o.key IS NOT NULL AND k.doc_id IS DISTINCT FROM o.last AS gone FROM keyed k LEFT JOIN often o ON k.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
+
+ORACLE_SQL = {"op1_line_quality": _OP1, "op2_source_mix": _OP2, "op4_near_duplicates": _OP4, "op13_line_dedup": _OP13}
