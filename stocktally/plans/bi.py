@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.functions.scalars import hour_label, pct_delta, safe_div, zip3_number, zip_state
 from stocktally.operators.aggregates import with_total_row
-from stocktally.operators.joins import with_scalar_row
 from stocktally.operators.ordering import priority, top_rows
 from stocktally.sources.tables import Tables
 
@@ -270,9 +269,8 @@ def stock_breakdown(rows: DataFrame, dimension: str, value: str, n: int = 15) ->
     """Members of a dimension with the most stock (in a given column), and their shares of what is shown."""
     groups = rows.filter(F.col(dimension).isNotNull()).groupBy(F.col(dimension).alias("label")).agg(F.coalesce(F.sum(value), F.lit(0)).alias("value"))
     head = top_rows(groups, [F.col("value").desc(), F.col("label")], n)
-    return with_scalar_row(head, head.agg(F.sum("value").alias("__shown"))).select(
-        "label", "value", F.coalesce(safe_div("value", "__shown") * 100, F.lit(0.0)).alias("share")
-    )
+    shown = F.sum("value").over(Window.partitionBy())  # n rows
+    return head.select("label", "value", F.coalesce(safe_div("value", shown) * 100, F.lit(0.0)).alias("share"))
 
 
 # --- purchasing -------------------------------------------------------------

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.operators.history import segment_snapshot
 from stocktally.plans import costs, customers, inventory, products, purchasing, sales
-from stocktally.session import cut_lineage
+from stocktally.plans.quality import Expectation, Finding
 from stocktally.sources import silver
-from stocktally.sources.sinks import archive_then_overwrite, merge_by_key, read_merged, replace_table, table_exists, write_table
+from stocktally.sources.sinks import archive_then_overwrite, checked_commit, current, merge_by_key, read_merged, read_table, replace_table, table_exists
 from stocktally.sources.tables import Tables
 
 # Read by many models: written once, so later reads scan files instead of
@@ -38,14 +38,14 @@ def model(landing: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], cfg:
     return Tables({**silver.builders(landing, cfg), **gold_builders(cfg, as_of)}, dict(seeds))
 
 
-def materialize(tables: Tables, root: str, names: Sequence[str] = SHARED) -> None:
-    """Write tables in order and read later uses back from the files."""
+def materialize(tables: Tables, root: str, names: Sequence[str] = SHARED, checks: Mapping[str, Sequence[Expectation]] | None = None) -> None:
+    """Commit tables in order and read later uses back from the files. A broken check of severity error stops the run."""
     for name in names:
         if name in set(tables):
             frame = tables[name]
             path = f"{root}/{name}"
-            write_table(frame, path)
-            tables.put(name, frame.sparkSession.read.parquet(path))
+            replace_table(frame.sparkSession, frame, path, checks=(checks or {}).get(name, ()))
+            tables.put(name, read_table(frame.sparkSession, path))
 
 
 def sales_by_month(rows: DataFrame) -> DataFrame:
@@ -54,27 +54,33 @@ def sales_by_month(rows: DataFrame) -> DataFrame:
 
 def refresh(
     tables: Tables, root: str, as_of: str, cfg: RetailConfig = DEFAULT, full: bool = False, forecasts: Mapping[str, DataFrame] | None = None,
-) -> None:
-    """One run of the pipeline into a folder.
+    checks: Sequence[Expectation] = (),
+) -> list[Finding]:
+    """One run of the pipeline into a folder; every table is committed as a whole, so that readers never see half of one.
 
     f_sales is written whole the first time (or when `full`), by month; later runs merge
     the rows of recently touched orders. segment_history gets a snapshot. Each forecast,
     named by its type, replaces the one of that type in f_forecast after that has gone to
     f_forecast_history. A run that stopped can be repeated with the same as_of.
+
+    `checks` are counted on the rows of f_sales by the job that writes them; a broken one of severity error raises
+    before the commit, all others are returned.
     """
     spark = tables["f_sales"].sparkSession
     stored, segments = f"{root}/f_sales", f"{root}/segment_history"
     if full or not table_exists(spark, stored):
-        write_table(sales_by_month(tables["f_sales"]), stored, partition_by=["sold_month"])
+        findings = replace_table(spark, sales_by_month(tables["f_sales"]), stored, "sold_month", checks)
     else:
-        merge_by_key(spark, stored, sales_by_month(sales.sales_increment(tables, as_of, cfg)), ["id"], "sold_month")
+        findings = merge_by_key(spark, stored, sales_by_month(sales.sales_increment(tables, as_of, cfg)), ["id"], "sold_month", checks)
     if "d_customer_segmentation" in set(tables):
-        history = spark.read.parquet(segments) if table_exists(spark, segments) else None
+        before = current(spark, segments)
+        history = read_table(spark, segments) if table_exists(spark, segments) else None
         taken = history is not None and not history.filter(F.col("valid_from") == F.lit(as_of).cast("timestamp")).isEmpty()
         if not taken:
-            replace_table(spark, cut_lineage(segment_snapshot(tables["d_customer_segmentation"], history, as_of), "segments"), segments)
+            checked_commit(spark, segments, segment_snapshot(tables["d_customer_segmentation"], history, as_of), before)
     for kind, rows in (forecasts or {}).items():
         archive_then_overwrite(spark, f"{root}/f_forecast", f"{root}/f_forecast_history", rows, "forecast_type", kind, as_of)
+    return findings
 
 
 def stored_sales(tables: Tables, root: str) -> DataFrame:

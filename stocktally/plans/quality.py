@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from stocktally.operators.windows import decreasing_steps
 
@@ -87,3 +87,39 @@ def report(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     result = counts.select(F.explode(rows).alias("r")).select("r.*")
     passed = F.col("violations") == 0
     return result.withColumn("status", F.when(passed, "pass").otherwise(F.col("severity")))
+
+
+@dataclass(frozen=True)
+class Finding:
+    """What a write has counted for an expectation."""
+
+    expectation: Expectation
+    violations: int
+
+    @property
+    def status(self) -> str:
+        return "pass" if self.violations == 0 else self.expectation.severity
+
+
+class ExpectationFailed(ValueError):
+    """Expectations of severity error that the rows of a write have broken."""
+
+    def __init__(self, where: str, broken: Sequence[Finding]):
+        self.broken = list(broken)
+        said = ", ".join(f"{f.expectation.rule}({f.expectation.column}): {f.violations} rows" for f in broken)
+        super().__init__(f"{where} was not committed: {said}")
+
+
+def observed(df: DataFrame, checks: Sequence[Expectation]) -> tuple[DataFrame, Callable[[], list[Finding]]]:
+    """df that counts violations while a job reads it, and what gives the counts after that job.
+
+    Row-level rules only: they need no scan and no shuffle of their own.
+    """
+    table_rules = [c.rule for c in checks if c.rule not in RULES]
+    if table_rules:
+        raise ValueError(f"not a row-level rule: {table_rules}")
+    if not checks:
+        return df, list
+    seen = Observation()
+    counts = [F.coalesce(F.count_if(RULES[c.rule](c.column, **dict(c.args))), F.lit(0)).alias(f"c{i}") for i, c in enumerate(checks)]
+    return df.observe(seen, *counts), lambda: [Finding(c, int(seen.get.get(f"c{i}") or 0)) for i, c in enumerate(checks)]

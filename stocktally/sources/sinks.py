@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from stocktally.plans.quality import Expectation, ExpectationFailed, Finding, observed
 from stocktally.session import cut_lineage
+from stocktally.sources.versions import Version, add_rows, commit, commit_rows, part_of, read_version, version
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -33,9 +34,6 @@ def export_parquet(df: DataFrame, path: str, compression: str = "snappy") -> Non
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder is there. Whatever else goes wrong in looking is an error, not a missing table."""
     fs, folder = _hadoop(spark, path)
-    before = folder.suffix("-before")
-    if not fs.exists(folder) and fs.exists(before):
-        fs.rename(before, folder)  # a replacement stopped between its two renames
     return fs.exists(folder)
 
 
@@ -60,22 +58,48 @@ def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return _same_key(target, batch, keys, "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write beside the table, then swap the folders. A stop in between loses nothing: see table_exists."""
-    fs, folder = _hadoop(spark, path)
-    fresh, before = folder.suffix(f"-new-{uuid.uuid4().hex}"), folder.suffix("-before")
-    write_table(df, fresh.toString())
-    if fs.exists(folder):
-        fs.delete(before, True)
-        fs.rename(folder, before)
-    else:
-        fs.mkdirs(folder.getParent())
-    fs.rename(fresh, folder)
-    fs.delete(before, True)
+def current(spark: SparkSession, path: str) -> Version | None:
+    """The committed version of a table. A plain parquet folder has none."""
+    return version(spark, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table as its last commit left it; a plain parquet folder as it lies there."""
+    at = current(spark, path)
+    return spark.read.parquet(path) if at is None else read_version(spark, path, at)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None, checks: Sequence[Expectation] = ()) -> list[Finding]:
+    """Commit df as the whole table, after the version that is current when the write begins.
+
+    Checks are counted by the job that writes the rows; a broken one of severity error stops before the commit.
+    """
+    after = current(spark, path)
+    return checked_commit(spark, path, df, after, checks, partition_by=partition_by)
+
+
+def checked_commit(
+    spark: SparkSession, path: str, df: DataFrame, after: Version | None, checks: Sequence[Expectation] = (), **how,
+) -> list[Finding]:
+    """commit() with expectations that are counted while the rows are written, in the same scan.
+
+    Raises ExpectationFailed before the commit if one of severity error is broken: the table stays as it was.
+    """
+    watched, findings = observed(df, checks)
+    fresh = add_rows(spark, path, watched, how.get("partition_by"))
+    found = findings()
+    broken = [f for f in found if f.status == "error"]
+    if broken:
+        raise ExpectationFailed(path, broken)
+    commit_rows(spark, path, fresh, df.schema, after, **how)
+    return found
 
 
 def read_merged(spark: SparkSession, path: str, like: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """A merged table; the partition column keeps the type it has in `like`, so that 01 stays text."""
+    """A merged table. In a plain folder the partition column keeps the type it has in `like`, so that 01 stays text."""
+    at = current(spark, path)
+    if at is not None:
+        return read_version(spark, path, at)
     found = spark.read.parquet(path)
     if partition_by is None:
         return found
@@ -83,44 +107,37 @@ def read_merged(spark: SparkSession, path: str, like: DataFrame, partition_by: s
     return spark.read.schema(T.StructType([T.StructField(f.name, kind if f.name == partition_by else f.dataType) for f in found.schema])).parquet(path)
 
 
-def merge_by_key(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str | None = None) -> None:
-    """Upsert a batch into a parquet table.
+def merge_by_key(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str | None = None, checks: Sequence[Expectation] = (),
+) -> list[Finding]:
+    """Upsert a batch into a table and commit the result as its next version.
 
-    With a partition column only touched partitions are read and rewritten: those of
-    the batch and those that hold older rows of its keys. The rewritten rows are
-    checkpointed first, because they are read from the folder they replace. Partitions
-    that lost their last row go last; if a run stops before that, the same batch again
-    gives the right table. Without a partition column the whole table is replaced.
+    With a partition column only touched partitions are read and written: those of the batch and those that hold
+    older rows of its keys; the others stay by reference. Readers see the table before the merge or after it. If
+    another writer commits meanwhile, this merge raises ConcurrentWrite and changes nothing: run it again. The same
+    batch again gives the same table. A plain parquet folder becomes a versioned table with its first merge.
 
-    Null key parts match each other. A key that the batch holds twice is an error, as is
-    a folder that is there but cannot be read as a table: nothing is written then.
+    Null key parts match each other. A key that the batch holds twice is an error, as is a folder that is there but
+    cannot be read as a table: nothing is written then. `checks` are counted on the rows written.
     """
     batch = cut_lineage(batch, "batch")
     twice = batch.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if twice:
         raise ValueError(f"the batch holds a key more than once: {twice[0].asDict()}")
-    if not table_exists(spark, path):
-        write_table(batch, path, partition_by=[partition_by] if partition_by else [])
-        return
-    target = read_merged(spark, path, batch, partition_by)
+    after = current(spark, path)
+    if after is None:
+        whole = merged(read_merged(spark, path, batch, partition_by), batch, keys) if table_exists(spark, path) else batch
+        return checked_commit(spark, path, whole, None, checks, partition_by=partition_by)
+    if after.partition_by != partition_by:
+        raise ValueError(f"{path} is partitioned by {after.partition_by}, not by {partition_by}")
     if partition_by is None:
-        replace_table(spark, merged(target, batch, keys), path)
-        return
-    # Key and partition columns only: a narrow scan of the target.
-    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
-    held = _same_key(target.select(*keys, partition_by, folder.alias("__folder")), batch, keys, "left_semi")
-    # One row per partition, as many as the job has folders to rewrite.
-    old = {row[0]: row[1] for row in held.select(partition_by, "__folder").distinct().collect()}
-    names = set(old) | {row[0] for row in batch.select(partition_by).distinct().collect()}
-    scope = F.col(partition_by).isin([n for n in names if n is not None])
-    if None in names:
-        scope = F.coalesce(scope, F.lit(False)) | F.col(partition_by).isNull()
-    result = cut_lineage(merged(target.filter(scope), batch, keys).select(*target.columns))
-    left = {r[0] for r in result.select(partition_by).distinct().collect()}
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
-    for emptied in set(old) - left:  # an overwrite leaves a folder alone whose last row moved elsewhere
-        gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(old[emptied]))
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+        return checked_commit(spark, path, merged(read_version(spark, path, after), batch, keys), after, checks)
+    # Key and partition columns only: a narrow scan of the target. One row per partition reaches the driver.
+    part = part_of(partition_by).alias("__p")
+    held = _same_key(read_version(spark, path, after).select(*keys, part), batch, keys, "left_semi").select("__p")
+    touched = {r[0] for r in held.union(batch.select(part)).distinct().collect()}
+    result = merged(read_version(spark, path, after, sorted(touched)), batch, keys)
+    return checked_commit(spark, path, result, after, checks, partition_by=partition_by, keep=lambda p: p not in touched)
 
 
 def merge_sql(target: str, source: str, keys: Sequence[str]) -> str:
@@ -130,20 +147,20 @@ def merge_sql(target: str, source: str, keys: Sequence[str]) -> str:
 
 
 def archive_then_overwrite(
-    spark: SparkSession, current: str, history: str, new_rows: DataFrame, type_column: str, type_value: str, archived_at: str,
+    spark: SparkSession, current_path: str, history_path: str, new_rows: DataFrame, type_column: str, type_value: str, archived_at: str,
 ) -> None:
-    """Copy the current rows of a type to the history table, then replace them.
+    """Copy the current rows of a type to the history table, then replace them; each step is one commit.
 
-    Other types in the same table keep their rows. A run with a stamp that the history
-    already holds for the type archives nothing again. new_rows must not read the table.
+    Other types in the same table keep their rows. A run with a stamp that the history already holds for the type
+    archives nothing again, so a run that stopped between the two commits can be repeated.
     """
     stamp = F.lit(archived_at).cast("timestamp")
-    if table_exists(spark, current):
-        done = table_exists(spark, history) and not (
-            spark.read.parquet(history).filter((F.col(type_column) == type_value) & (F.col("archived_at") == stamp)).isEmpty()
-        )
-        rows = spark.read.parquet(current).filter(F.col(type_column) == type_value)
+    kind = F.col(type_column) == type_value
+    now, past = current(spark, current_path), current(spark, history_path)
+    part = spark.range(1).select(F.lit(type_value).alias(type_column)).select(part_of(type_column)).first()[0]
+    if now is not None:
+        rows = read_version(spark, current_path, now, [part])
+        done = past is not None and not read_version(spark, history_path, past, [part]).filter(F.col("archived_at") == stamp).isEmpty()
         if not done and not rows.isEmpty():  # else a run with this stamp has archived already, or there is nothing yet
-            rows.withColumn("archived_at", stamp).write.mode("append").partitionBy(type_column).parquet(history)
-    (new_rows.filter(F.col(type_column) == type_value).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(type_column).parquet(current))
+            commit(spark, history_path, rows.withColumn("archived_at", stamp), past, type_column, add=True)
+    commit(spark, current_path, new_rows.filter(kind), now, type_column, keep=lambda p: p != part)

@@ -167,6 +167,7 @@ def test_projection_of_the_whole_stock(spark):
 def test_stream_keeps_the_newer_record(spark, rows):
     import uuid
 
+    from stocktally.sources.sinks import read_table
     from stocktally.streaming.live import cdc_stream_upsert
 
     root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
@@ -175,4 +176,4 @@ def test_stream_keeps_the_newer_record(spark, rows):
         spark.createDataFrame(batch, "k int, t int, v string").write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema("k int, t int, v string").parquet(f"{root}/in")
         cdc_stream_upsert(stream, f"{root}/out", ["k"], f"{root}/check", newest_first=newest).awaitTermination()
-    assert rows(spark.read.parquet(f"{root}/out"), "k", "v") == [(1, "new"), (2, "b")]
+    assert rows(read_table(spark, f"{root}/out"), "k", "v") == [(1, "new"), (2, "b")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stocktally.plans import build, costs, customers, purchasing, sales
 from stocktally.session import shared_folder
-from stocktally.sources.sinks import write_table
+from stocktally.sources.sinks import read_table, write_table
 from workload.registry import add
 from workload.tables import AS_OF, CFG
 
@@ -96,7 +96,7 @@ def _refreshed(t):
     write_table(build.sales_by_month(stale), f"{root}/f_sales", partition_by=["sold_month"])
     for _ in range(2):
         build.refresh(t, root, AS_OF, CFG)
-    assert spark.read.parquet(f"{root}/segment_history").count() == t["d_customer_segmentation"].count()
+    assert read_table(spark, f"{root}/segment_history").count() == t["d_customer_segmentation"].count()
     return build.stored_sales(t, root)
 
 

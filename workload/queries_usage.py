@@ -233,7 +233,7 @@ def _merge_orders(t):
     sinks.write_table(rows.filter(F.col("o_orderstatus") != "O"), path, partition_by=["ym"])
     recent = rows.filter(F.col("ym") >= "2001-06").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     sinks.merge_by_key(spark, path, recent, ["o_orderkey"], "ym")
-    return spark.read.parquet(path).withColumn("ym", F.col("ym").cast("string"))
+    return sinks.read_table(spark, path).withColumn("ym", F.col("ym").cast("string"))
 
 
 add("merge_by_key", _merge_orders,
@@ -248,8 +248,8 @@ def _archive(t):
     two = t["orders"].groupBy(F.col("o_orderstatus").alias("o_orderpriority")).agg(F.sum("o_totalprice").alias("v")).withColumn("kind", F.lit("status"))
     for frame, kind, at in ((one, "priority", "2001-01-01"), (two, "status", "2001-01-01"), (one.withColumn("v", F.col("v") * 2), "priority", "2001-02-01")):
         sinks.archive_then_overwrite(spark, f"{root}/current", f"{root}/history", frame, "kind", kind, at)
-    current = spark.read.parquet(f"{root}/current").withColumn("state", F.lit("current"))
-    past = spark.read.parquet(f"{root}/history").drop("archived_at").withColumn("state", F.lit("archived"))
+    current = sinks.read_table(spark, f"{root}/current").withColumn("state", F.lit("current"))
+    past = sinks.read_table(spark, f"{root}/history").drop("archived_at").withColumn("state", F.lit("archived"))
     return current.unionByName(past).withColumn("kind", F.col("kind").cast("string"))
 
 
@@ -288,7 +288,7 @@ def _stream_upsert(t, out="-out", **mode):
         stream.withColumn("bucket", F.col("user_id") % _BUCKETS), folder + out, ["user_id"], folder + out + "-progress", partition_by="bucket",
         newest_first=lambda: [F.desc("ts"), F.desc("event_id")], **mode,
     ).awaitTermination()
-    return spark.read.parquet(folder + out).drop("bucket")
+    return sinks.read_table(spark, folder + out).drop("bucket")
 
 
 add("stream_cdc_upsert", _stream_upsert, """select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
@@ -337,7 +337,7 @@ def _archive_rerun(t):
     rows = t["orders"].groupBy("o_orderpriority").agg(F.sum("o_totalprice").alias("v")).withColumn("kind", F.lit("priority"))
     for at in ("2001-01-01", "2001-02-01", "2001-02-01"):
         sinks.archive_then_overwrite(spark, f"{root}/current", f"{root}/history", rows, "kind", "priority", at)
-    return spark.read.parquet(f"{root}/history").select("o_orderpriority", "v", F.col("kind").cast("string"), F.date_format("archived_at", "yyyy-MM-dd").alias("at"))
+    return sinks.read_table(spark, f"{root}/history").select("o_orderpriority", "v", F.col("kind").cast("string"), F.date_format("archived_at", "yyyy-MM-dd").alias("at"))
 
 
 add("archive_rerun", _archive_rerun, "select o_orderpriority, sum(o_totalprice) as v, 'priority' as kind, '2001-02-01' as at from orders group by 1", {"v": 2})
