@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from stocktally.plans import quality, usage
 from stocktally.session import shared_folder
 from stocktally.sources import readers, sinks
-from stocktally.streaming import live
+from stocktally.streaming import keyed, live
 from workload.registry import add
 
 AS_OF = "2024-01-20"
@@ -273,32 +274,59 @@ def _event_stream(t):
     """The events as a bounded stream of files, as many as their scan has tasks and two at least; half come per trigger."""
     spark = t["events"].sparkSession
     folder = _scratch(spark, "stream") + "/events"
-    t["events"].filter("user_id % 2 = 0").write.parquet(folder)
-    t["events"].filter("user_id % 2 <> 0").write.mode("append").parquet(folder)
+    odd = F.coalesce(F.col("user_id") % 2, F.lit(1)) != 0  # events without a user are in one part too
+    t["events"].filter(~odd).write.parquet(folder)
+    t["events"].filter(odd).write.mode("append").parquet(folder)
     files = len(spark.read.parquet(folder).inputFiles())
     return spark, spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(folder), folder
 
 
-_BUCKETS = 16  # folders of the stored table: a batch rewrites those it touches
+_BUCKETS = 16  # folders of the stored table
+_NEWEST = ["ts", "event_id"]
 
 
-def _stream_upsert(t, out="-out", **mode):
+def _stream_upsert(t, compacted=False, **mode):
     spark, stream, folder = _event_stream(t)
-    live.cdc_stream_upsert(
-        stream.withColumn("bucket", F.col("user_id") % _BUCKETS), folder + out, ["user_id"], folder + out + "-progress", partition_by="bucket",
-        newest_first=lambda: [F.desc("ts"), F.desc("event_id")], **mode,
-    ).awaitTermination()
-    return sinks.read_table(spark, folder + out).drop("bucket")
+    out = folder + "-out"
+    bucketed = stream.withColumn("bucket", F.col("user_id") % _BUCKETS)
+    keyed.keyed_upsert(bucketed, out, ["user_id"], _NEWEST, out + "-progress", partition_by="bucket", **mode).awaitTermination()
+    if compacted:
+        keyed.compact(spark, out, ["user_id"], _NEWEST)
+    return keyed.upserted(spark, out, ["user_id"], _NEWEST).drop("bucket")
 
 
 add("stream_cdc_upsert", _stream_upsert, """select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
 _GONE = "event_type = 'purchase'"
-add("stream_cdc_delete", lambda t: live.live_rows(_stream_upsert(t, tombstone=lambda: F.expr(_GONE), tombstone_mode="latest_wins")),
+add("stream_cdc_delete", lambda t: _stream_upsert(t, True, tombstone=F.expr(_GONE), tombstone_mode="latest_wins"),
     f"select * from (select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1) where not ({_GONE})")
-add("stream_cdc_delete_filter_first", lambda t: _stream_upsert(t, tombstone=lambda: F.expr(_GONE)),
+add("stream_cdc_delete_filter_first", lambda t: _stream_upsert(t, tombstone=F.expr(_GONE)),
     f"select * from events where not ({_GONE}) qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1")
 
 
+def _silences(t):
+    """Users that show no event for one day and for three, told while the stream runs: files of a week each, one per trigger."""
+    spark = t["events"].sparkSession
+    folder = _scratch(spark, "silence") + "/events"
+    first, newest = t["events"].agg(F.min("ts"), F.max("ts")).first()
+    files = 0
+    for k in range(4):
+        low, high = (first + (newest - first) * j / 4 for j in (k, k + 1))
+        part = t["events"].filter((F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k == 3)))
+        part.write.mode("append").parquet(folder)
+        files = max(files, len(spark.read.parquet(folder).inputFiles()) - files)
+    stream = spark.readStream.schema(t["events"].schema).option("maxFilesPerTrigger", files).parquet(folder)
+    alerts = keyed.silence_alerts(stream, ["user_id"], "ts", {"WARN": timedelta(days=1), "ALERT": timedelta(days=3)}, late="10 days")
+    told = keyed.drain_keyed(alerts, folder + "-alerts")
+    return told.select("user_id", "level", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("last_seen", "crossed_at")])
+
+
+add("stream_silence_alerts", _silences,
+    """select user_id, level, ts as last_seen, ts + days * interval 1 day as crossed_at from (
+ select distinct user_id, ts, lead(ts) over (partition by user_id order by ts) as next from (select distinct user_id, ts from events)),
+ (values ('WARN', 1), ('ALERT', 3)) as l(level, days), (select date_trunc('milliseconds', max(ts)) - interval 10 day as mark from events)
+ where (next is null or next > ts + days * interval 1 day) and ts + days * interval 1 day < mark""")
+
+
 def _stream_distinct(t):
     _, stream, folder = _event_stream(t)
     stamped = stream.withColumn("at", F.col("ts").cast("timestamp"))
