@@ -144,34 +144,47 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string")) % folds
 
 
-def bounded_sample(df: DataFrame, key: str, most: int, by: str | None = None) -> DataFrame:
-    """About `most` rows at most (of each value of `by`), chosen by a hash of the key; all rows if there are fewer."""
+def bounded_sample(df: DataFrame, key: str, most: int, by: str | None = None, content: str | None = None) -> DataFrame:
+    """About `most` different rows at most (of each value of `by`); all different rows if there are fewer.
+
+    Rows are different if key or content is; they are chosen by a hash of both, so that many rows of one key, or
+    without a key, are drawn one by one. Of equal rows one is left. `by` has one group per class.
+    """
+    columns = df.columns
     by_column = F.col(by) if by else F.lit(0)
-    sizes = {r[0]: r[1] for r in df.groupBy(by_column.alias("k")).count().collect()}  # one row per class
+    what = [F.col(f"`{key}`"), *([F.col(f"`{content}`")] if content else [])]
+    drawn = df.withColumns({"__x": F.xxhash64(F.lit(7), *what), "__y": F.xxhash64(F.lit(8), *what)})
+    sizes = drawn.groupBy(by_column.alias("k")).agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("__x", 0.01).alias("different")).collect()
     share = F.lit(1.0)
-    for value, n in sizes.items():
-        if n > most:
-            share = F.when(by_column.eqNullSafe(F.lit(value)), F.lit(most / n)).otherwise(share)
-    spread = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.filter(spread < share)
-
+    for row in sizes:
+        if min(row["rows"], row["different"]) > most:
+            share = F.when(by_column.eqNullSafe(F.lit(row["k"])), F.lit(most / row["different"])).otherwise(share)
+    spread = F.pmod(F.col("__x"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return drawn.filter(spread < share).dropDuplicates(["__x", "__y", *([by] if by else [])]).select(*[F.col(f"`{c}`") for c in columns])
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int, balanced: bool = True) -> DataFrame:
-    """(doc_id, __text, __label, __fold) of a bounded sample of labelled rows outside the held-out fold.
 
-    The ids of the sample are broadcast: `most` rows per class bound them, so that no text is shuffled.
-    A doc_id labelled more than once counts with its largest label; null labels are left out.
-    """
-    ids = (
+def labelled_ids(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """(__id, __label, __fold) of labels outside the held-out fold, one row per id: its largest label."""
+    return (
         labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label")).dropna()
         .withColumn("__fold", fold_of(F.col("__id"), folds)).filter(F.col("__fold") != held_out)
         .groupBy("__id", "__fold").agg(F.max("__label").alias("__label"))
     )
-    ids = bounded_sample(ids, "__id", most, "__label")
-    return (
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int) -> DataFrame:
+    """(doc_id, __text, __label, __fold) of a bounded sample of labelled rows outside the held-out fold.
+
+    The ids of the sample are broadcast: `most` rows per class bound them, so that no text is shuffled. Rows are bounded
+    once more after the join, for ids that have many rows. A doc_id labelled more than once counts with its largest
+    label; null labels are left out.
+    """
+    ids = bounded_sample(labelled_ids(labels, label, folds, held_out), "__id", most, "__label")
+    rows = (
         docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).filter(F.col("__text").isNotNull())
         .join(F.broadcast(ids), "__id").withColumnRenamed("__id", "doc_id")
     )
+    return bounded_sample(cut_lineage(rows, "labelled"), "doc_id", most, "__label", "__text")
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str, how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from stocktally.llm.common import Shared, Words, bounded_sample, chunks, collected, fold_of, mix64, with_columns
 
 BUCKETS = 1 << 15
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # numbers such as ² or Ⅷ are none
 _BLOCK = 8192  # words whose subword vectors are held at a time
 _GRAMS = (2, 3, 4)  # bytes of a subword; a word's ends are zero bytes
 
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, label: str, folds: int, held_out: int, per_language: in
         .withColumn("__fold", fold_of(F.col("doc_id"), folds))
         .filter((F.col("__fold") != held_out) & F.col("__label").isNotNull() & F.col("__text").isNotNull())
     )
-    sample = bounded_sample(rows, "doc_id", per_language, "__label")
+    sample = bounded_sample(rows, "doc_id", per_language, "__label", "__text")
     cells = collected(with_columns(sample, "__text", "cell binary", lambda t: [subword_counts(t)], keep=["doc_id", "__label", "__fold"]))
     cells = cells.sort_by([("doc_id", "ascending"), ("__label", "ascending")]).to_pydict()
     used = [i for i, c in enumerate(cells["cell"]) if c]
@@ -159,7 +159,7 @@ def identify_language(
     """docs with held_out, lang_pred, score and accepted.
 
     The model is fitted in the driver on subword counts of at most about `per_language` documents of each value of
-    `label` outside the held-out fold; a quarter of the folds sets the temperature and the rejection bound, the
+    `label` outside the held-out fold, copies of a row counted once; a quarter of the folds sets the temperature and the rejection bound, the
     smaller of `bound` and the `lost` quantile of its confidences. Every document is scored from its whole text.
     A null text or one without a letter gets `und`, score 0, accepted false; others get the likeliest language and
     its calibrated probability, accepted if it reaches the bound. With one language only, all get it with score 1;

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stocktally.llm.common import Words, join_small, mix64, with_columns, without, word_hashes
+from stocktally.llm.common import Words, join_small, mix64, with_columns, word_hashes
 from stocktally.session import cut_lineage
 
 SHINGLE = 5
@@ -56,7 +56,7 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int) -> DataFrame:
-    """(doc_id, __class, __n, __nodes): key and size of the shingle set, and the trie node reached in each tree."""
+    """(doc_id, row key, __class, __n, __nodes): key and size of the shingle set, and the trie node reached in each tree."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     salts = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int) -> D
             nodes.append(prefix.view(np.int64))
         return [keys, sizes, nodes]
 
-    return with_columns(docs, "text", "__class binary, __n long, __nodes array<long>", compute, keep=["doc_id"])
+    return with_columns(docs, "text", "__class binary, __n long, __nodes array<long>", compute, keep=["doc_id", "__x", "__y"])
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -197,14 +197,36 @@ def near_duplicates(
     Jaccard similarity at or above the threshold; n_links counts all other documents that reach it, copies included.
 
     A text of fewer words than a shingle is one shingle. Null and empty texts have no shingles, class and links of
-    their own. Repeated rows are copies of each other. An empty table gives an empty result. Other columns are ignored.
+    their own. Repeated rows are copies of each other, and rows of one id with different texts are documents of their
+    own. Rows without an id are linked like others; they are never the smallest id, and class_id and copy_of are null
+    where no row of the group or class has one. Texts of any length are compared whole. An empty table gives an empty
+    result. Other columns are ignored.
     """
+    marked = _marked(docs, shingle, threshold, trees, deepest, recall, block, seed)
+    return marked.select(
+        "doc_id",
+        F.coalesce("__group", "__first", "doc_id").alias("class_id"),
+        F.coalesce("__first", "doc_id").alias("copy_of"),
+        F.coalesce("__copies", F.lit(1)).alias("n_copies"),
+        (F.coalesce("__copies", F.lit(1)) - 1 + F.coalesce("__links", F.lit(0))).alias("n_links"),
+        F.col("__n").alias("n_shingles"),
+    )
+
+
+def _row_key() -> list:
+    """128 bits of id and text."""
+    return [F.xxhash64(F.lit(s), F.col("doc_id"), F.col("text")).alias(n) for s, n in ((31, "__x"), (37, "__y"))]
+
+
+def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest: int, recall: float, block: int, seed: int) -> DataFrame:
+    """One row per document: doc_id, row key, class, its size, and where there are copies or links: class facts, label of the group."""
     depth = depth_for(trees, deepest, threshold, recall)
-    spark = docs.sparkSession
-    sketched = cut_lineage(sketches(docs.select("doc_id", "text"), shingle, trees, depth, seed), "sketches")
+    plain = docs.select("doc_id", "text")
+    sketched = cut_lineage(sketches(plain.select("doc_id", "text", *_row_key()), shingle, trees, depth, seed), "sketches")
     classes = cut_lineage(
         sketched.filter(F.col("__n") > 0).groupBy("__class").agg(
-            F.min("doc_id").alias("__first"), F.count(F.lit(1)).alias("__copies"), F.first("__nodes").alias("__nodes")
+            F.min("doc_id").alias("__first"), F.count(F.lit(1)).alias("__copies"), F.first("__nodes").alias("__nodes"),
+            F.min(F.struct("__x", "__y")).alias("__shown"),  # the row whose text stands for the class
         ), "classes",
     )
     members = classes.select("__class", F.explode("__nodes").alias("__node"))
@@ -216,10 +238,13 @@ def near_duplicates(
     groups = components(edges, "__class", "__head").select(F.col("node").alias("__class"), F.col("label").alias("__comp"))
     sizes = groups.groupBy("__comp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__blocks"))
     candidates = cut_lineage(
-        join_small(groups, sizes, "__comp", "inner").join(classes.select("__class", "__first", "__copies"), "__class")
-        .withColumn("__block", F.pmod(F.xxhash64("__class"), F.col("__blocks")).cast("int")).drop("__class_"), "members",
+        join_small(groups, sizes, "__comp", "inner")
+        .join(classes.select("__class", "__copies", F.col("__shown.__x").alias("__x"), F.col("__shown.__y").alias("__y")), "__class")
+        .withColumn("__block", F.pmod(F.xxhash64("__class"), F.col("__blocks")).cast("int")), "members",
     )
-    texts = join_small(docs.select(F.col("doc_id").alias("__first"), "text").filter(F.col("text").isNotNull()), candidates, "__first", "inner")
+    texts = join_small(plain.filter(F.col("text").isNotNull()).select(*_row_key(), "text"), candidates, ["__x", "__y"], "inner")
+    # Rows equal in id and text show the same class more than once.
+    texts = texts.drop("__x", "__y").dropDuplicates(["__class"])
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
     dealt = (
         texts.withColumn("__other", other)
@@ -232,35 +257,41 @@ def near_duplicates(
     roots = components(verified.select("__class", "__root"), "__class", "__root")
     firsts = classes.select("__class", "__first", "__copies")
     grouped = roots.select(F.col("node").alias("__class"), F.col("label").alias("__label")).join(firsts, "__class")
+    # One row per group, stored: the join is a broadcast, or one that can be split where a group is large.
     named = grouped.groupBy("__label").agg(F.min("__first").alias("__group"))
-    grouped = grouped.join(named, "__label").select("__class", "__group")
+    grouped = join_small(grouped, named, "__label", "inner").select("__class", "__group", "__label")
     info = (
         firsts.join(linked, "__class", "left").join(grouped, "__class", "left")
         .filter((F.col("__copies") > 1) | F.col("__links").isNotNull())
-        .select("__class", "__first", "__copies", "__links", "__group")
-    )
-    marked = join_small(sketched.select("doc_id", "__class", "__n"), info, "__class")
-    return marked.select(
-        "doc_id",
-        F.coalesce("__group", "__first", "doc_id").alias("class_id"),
-        F.coalesce("__first", "doc_id").alias("copy_of"),
-        F.coalesce("__copies", F.lit(1)).alias("n_copies"),
-        (F.coalesce("__copies", F.lit(1)) - 1 + F.coalesce("__links", F.lit(0))).alias("n_links"),
-        F.col("__n").alias("n_shingles"),
+        .select("__class", "__first", "__copies", "__links", "__group", F.coalesce("__label", "__class").alias("__label"))
     )
+    return join_small(sketched.drop("__nodes"), info, "__class")
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """docs without all but the document with the smallest id of each class; of rows with one id one stays.
+def keep_one(
+    docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, trees: int = 20, deepest: int = 8, recall: float = 0.999, block: int = 64,
+    seed: int = 0,
+) -> DataFrame:
+    """docs with one row of each group of near duplicates: the one with the smallest id, of equal ids one.
 
-    Only the ids that go are joined with the texts.
+    Rows go one by one, not by their id: a row that is like no other stays, whatever other rows share its id. Rows
+    without an id stay only where their whole group has none. Null and empty texts are like no other and stay. Only
+    digests of the rows that go are joined with the texts.
     """
-    marked = cut_lineage(near_duplicates(docs, **settings).select("doc_id", "class_id"), "marked")
-    gone = marked.filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = join_small(docs.withColumn("__gone", F.col("doc_id")), gone, "__gone", "left_anti").drop("__gone")
-    repeated = marked.filter(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").count().filter(F.col("count") > 1).select(F.col("doc_id").alias("__again"))
-    if repeated.isEmpty():
-        return kept
-    with_key = kept.withColumn("__again", F.col("doc_id"))
-    twice = join_small(with_key, repeated, "__again", "left_semi").dropDuplicates(["doc_id"])
-    return join_small(with_key, repeated, "__again", "left_anti").unionByName(twice).drop("__again")
+    marked = cut_lineage(
+        _marked(docs, shingle, threshold, trees, deepest, recall, block, seed).filter(F.col("__label").isNotNull()).select("doc_id", "__x", "__y", "__label"), "marked"
+    )
+    none = F.col("doc_id").isNull()
+    best = marked.groupBy("__label").agg(F.min(F.struct(none.alias("none"), F.col("doc_id"), "__x", "__y")).alias("__best"))
+    judged = join_small(marked, best, "__label", "inner").withColumn("__stays", (F.col("__x") == F.col("__best.__x")) & (F.col("__y") == F.col("__best.__y")))
+    keys = judged.groupBy("__x", "__y").agg(F.max("__stays").alias("__stays"), F.count(F.lit(1)).alias("__times"))
+    gone = keys.filter(~F.col("__stays")).select("__x", "__y")
+    again = keys.filter(F.col("__stays") & (F.col("__times") > 1)).select("__x", "__y")
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), *_row_key())
+    kept = join_small(rows, gone, ["__x", "__y"], "left_anti")
+    again = cut_lineage(again, "again")
+    if not again.isEmpty():  # equal rows: one of them
+        twice = join_small(kept, again, ["__x", "__y"], "left_semi").dropDuplicates(["__x", "__y"])
+        kept = join_small(kept, again, ["__x", "__y"], "left_anti").unionByName(twice)
+    return kept.select(*[F.col(f"__row.`{c}`").alias(c) for c in names])

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stocktally.llm.common import Shared, bounded_sample, collected, mix64
+from stocktally.llm.common import Shared, collected, mix64
 from stocktally.session import cut_lineage
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from stocktally.llm.common import Shared, Words, chunks, collected, fold_of, labelled_texts, mix64, with_columns
+from stocktally.llm.common import Shared, Words, chunks, collected, fold_of, labelled_ids, labelled_texts, mix64, with_columns
 
 _EDGE = 1984  # buckets of word beginnings, and as many of word ends
 _SHAPES = 72  # kinds of words by their capitals, small letters, digits and other characters
@@ -21,27 +21,33 @@ class QualityModel:
     basis: np.ndarray  # terms x dims
     vectors: np.ndarray  # labelled documents x dims, of length 1
     labels: np.ndarray
+    weights: np.ndarray  # labelled rows that a vector stands for
     neighbours: int
     sharpness: float
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
-        z = weighted(counts, self.idf) @ self.basis
+        z = weighted(counts, self.idf).astype(np.float64) @ self.basis
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        """Shares of the votes for label 1: exact cosines against every labelled vector, one block of documents."""
+        """Shares of the votes for label 1: exact cosines against every labelled vector, one block of documents.
+
+        Cosines are rounded to nine places and ties at the last neighbour go to the earlier vector, so that a text's
+        score does not depend on the texts beside it.
+        """
         some = counts.any(axis=1)
         out = np.zeros(len(counts))
         if not len(self.labels):
             out[some] = 0.5
             return out
-        near = self.embed(counts[some]) @ self.vectors.T
+        near = np.round(self.embed(counts[some]) @ self.vectors.T, 9)
         k = min(self.neighbours, near.shape[1])
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        votes = np.take_along_axis(near, top, 1).clip(0).astype(np.float64) ** self.sharpness
+        top = np.argpartition(np.arange(near.shape[1]) * 1e-14 - near, k - 1, axis=1)[:, :k]
+        top.sort(axis=1)
+        votes = np.take_along_axis(near, top, 1).clip(0) ** self.sharpness * self.weights[top]
         total = votes.sum(1)
         share = (votes * self.labels[top]).sum(1) / np.maximum(total, 1e-300)
-        out[some] = np.where(total > 0, share, self.labels.mean()).clip(0, 1)
+        out[some] = np.where(total > 0, share, np.average(self.labels, weights=self.weights)).clip(0, 1)
         return out
 
 
@@ -85,8 +91,11 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return both / np.maximum(np.linalg.norm(both, axis=1, keepdims=True), 1e-12)
 
 
-def fit(sample: DataFrame, dims: int = 64, neighbours: int = 11, sharpness: float = 8.0) -> QualityModel:
-    """Model of a bounded frame (doc_id, __text, __label): its term counts come to the driver, its texts do not."""
+def fit(sample: DataFrame, totals: dict[int, int], dims: int = 64, neighbours: int = 11, sharpness: float = 8.0) -> QualityModel:
+    """Model of a bounded frame (doc_id, __text, __label): its term counts come to the driver, its texts do not.
+
+    totals has the labelled rows of each label; a vector's vote counts for as many as it stands for.
+    """
 
     def packed(texts):
         out = []
@@ -100,6 +109,8 @@ def fit(sample: DataFrame, dims: int = 64, neighbours: int = 11, sharpness: floa
         [("doc_id", "ascending"), ("__label", "ascending")]
     )
     labels = np.array(rows.column("__label").to_pylist(), np.float64)
+    shown = {label: int((labels == label).sum()) for label in set(labels.tolist())}
+    weights = np.array([max(totals.get(int(x), 0) / shown[x], 1.0) for x in labels.tolist()])
     cells = [np.frombuffer(c, np.int32).reshape(2, -1) for c in rows.column("terms").to_pylist()]
     seen = np.zeros(_TERMS)
     for at, _ in cells:
@@ -107,7 +118,7 @@ def fit(sample: DataFrame, dims: int = 64, neighbours: int = 11, sharpness: floa
     idf = np.log((1 + len(labels)) / (1 + seen))
     width = _TERMS + _SHAPES + 1
     if not len(labels):
-        return QualityModel(idf, np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), labels, neighbours, sharpness)
+        return QualityModel(idf, np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), labels, weights, neighbours, sharpness)
     # One matrix of single precision; counts exist for one block of rows at a time.
     x = np.empty((len(labels), width), np.float32)
     for a, b in chunks(np.ones(len(cells), np.int64), _ROWS):
@@ -121,9 +132,9 @@ def fit(sample: DataFrame, dims: int = 64, neighbours: int = 11, sharpness: floa
     for _ in range(4):
         q = np.linalg.qr(x.T @ (x @ q))[0]
     basis = (q @ np.linalg.svd(x @ q, full_matrices=False)[2].T)[:, :dims].astype(np.float32)
-    vectors = x @ basis
+    vectors = x.astype(np.float64) @ basis if len(x) <= _ROWS else np.concatenate([x[a:b].astype(np.float64) @ basis for a, b in chunks(np.ones(len(x), np.int64), _ROWS)])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return QualityModel(idf, basis, vectors, labels, neighbours, sharpness)
+    return QualityModel(idf, basis.astype(np.float64), vectors, labels, weights, neighbours, sharpness)
 
 
 def classify_quality(
@@ -133,11 +144,14 @@ def classify_quality(
     """docs with held_out, score (0 to 1) and predicted.
 
     At most about `sample_per_class` labelled rows of each label, outside the held-out fold, become the broadcast
-    vectors (2 x 2000 x 64 floats by default, 1 MB); every document is compared with all of them in blocks.
+    vectors (2 x 2000 x 64 doubles by default, 2 MB); a vote counts for the labelled rows that its vector stands for, so
+    that the labels keep their natural mix in tables of every size; every document is compared with all of them in blocks.
     A null or empty text has score 0; without any labelled rows other texts have 0.5; a text unlike every labelled
-    one gets the sample's mean label. Copies of a text get the same score. Input columns of the new names are replaced.
+    one gets the mean label. Copies of a text get the same score, also of a very long one, which is taken whole; of
+    equally near neighbours the ones with the smaller ids vote. Input columns of the new names are replaced.
     """
-    model = fit(labelled_texts(docs, labels, label, folds, held_out, sample_per_class))
+    totals = {r["__label"]: r["count"] for r in labelled_ids(labels, label, folds, held_out).groupBy("__label").count().collect()}  # a row per label
+    model = fit(labelled_texts(docs, labels, label, folds, held_out, sample_per_class), totals)
     shared = Shared(docs.sparkSession, model)
 
     def compute(texts):

@@ -61,7 +61,7 @@ def filter_urls(
     """pages with host, path, rule, verdict (allow or block) and score (probability of block; null where a rule decides).
 
     The labelled URLs are those that a rule decides; at most about `sample_per_class` of each verdict, chosen by a
-    hash of the key, train the trees, each with the weight of the decided URLs it stands for. The suffix statistics
+    hash of key and URL (the key may be null or repeated), train the trees, each with the weight of the decided URLs it stands for. The suffix statistics
     (share of blocked URLs under a host's last label, smoothed by one URL at the overall share) come from all decided
     URLs; their table is broadcast if it is small. Every other URL is scored in the JVM. Only the columns of pages
     that are asked for later are read.
@@ -77,16 +77,16 @@ def filter_urls(
     rule, verdict = fitting_rule(F.col("__host"), F.col("__path"), rules)
     judged = lexical(split.withColumns({"__rule": rule, "__verdict": verdict}), url)
     names = [f"__f_{f}" for f in FEATURES[:9]]
-    labelled = judged.filter(F.col("__verdict").isNotNull()).select(key, "__suffix", "__verdict", *names)
-    sample = cut_lineage(bounded_sample(labelled, key, sample_per_class, "__verdict").coalesce(4), "urls")
+    labelled = judged.filter(F.col("__verdict").isNotNull()).select(F.col(f"`{key}`").alias("__key"), F.col(f"`{url}`").alias("__url"), "__suffix", "__verdict", *names)
+    sample = cut_lineage(bounded_sample(labelled, "__key", sample_per_class, "__verdict", "__url").drop("__key", "__url").coalesce(4), "urls")
     block = (F.col("__verdict") == "block").cast("double")
     suffixes = cut_lineage(labelled.groupBy("__suffix").agg(F.count(F.lit(1)).alias("n"), F.sum(block).alias("blocked")), "suffixes")
     counts = {r["__verdict"]: r["count"] for r in labelled.groupBy("__verdict").count().collect()}
     shown = {r["__verdict"]: r["count"] for r in sample.groupBy("__verdict").count().collect()}
     kept = [F.col(f"`{c}`") for c in pages.columns]
     base = [F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule")]
-    if len(counts) < 2:
-        usual = next(iter(counts), "allow")
+    if len(counts) < 2 or len(shown) < 2:
+        usual = max(counts, key=lambda v: (counts[v], v), default="allow")
         return judged.select(*kept, *base, F.coalesce("__verdict", F.lit(usual)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     overall = counts["block"] / sum(counts.values())
     small = suffixes.count() <= BROADCAST_ROWS
