@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
+
+from stocktally.session import cut_lineage
 
 
 def without_groups(df: DataFrame, key: str, condition: Column) -> DataFrame:
@@ -73,6 +76,47 @@ def range_lookup(df: DataFrame, value: str | Column, table: DataFrame, low: str,
     return df.withColumn("__v", key).join(points, F.col("__v") == F.col("__point"), "left").drop("__v", "__point")
 
 
+def _number(c: Column, kind: T.DataType) -> Column:
+    """Points of a time line as numbers: microseconds for times, days for dates."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return (F.unix_date(c) if isinstance(kind, T.DateType) else c).cast("double")
+
+
+def interval_join(
+    df: DataFrame, point: str, ranges: DataFrame, low: str, high: str, how: str = "inner", closed: str = "left", coarse: int = 2,
+) -> DataFrame:
+    """Rows of df with each range that holds their point: low <= point < high, or <= high with closed="both".
+
+    A range lies in bins of the power of two that is not smaller than it, so in two bins at most, however wide it is;
+    a point lies in one bin of each size that occurs. That makes an equality join on size and bin, with the exact test
+    after it: no nested loop, and no unrolling of ranges. Sizes go up by `coarse` doublings, which keeps them few; they
+    are the only thing that reaches the driver. A bin that holds many rows is split like any skewed key.
+
+    Points and ranges are numbers, dates or times of one type. Null points, ranges with a null end and ranges that end
+    before they begin meet nothing. how="left" keeps rows that meet nothing. df and ranges have different column names.
+    """
+    if how not in ("inner", "left") or closed not in ("left", "both"):
+        raise ValueError(f"unknown how {how!r} or closed {closed!r}")
+    start, end = (_number(F.col(c), ranges.schema[c].dataType) for c in (low, high))
+    held = ranges.filter(F.col(low) <= F.col(high))
+    width = F.greatest(end - start, F.lit(2.0**-40))
+    held = held.withColumn("__size", (F.ceil(F.log2(width) / coarse) * coarse).cast("int"))
+    sizes = sorted(r[0] for r in held.select("__size").distinct().collect())
+    bin_of = lambda v, size: F.floor(v / F.pow(F.lit(2.0), size))
+    held = held.withColumn("__bin", F.explode(F.array_distinct(F.array(bin_of(start, F.col("__size")), bin_of(end, F.col("__size"))))))
+    rows = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()), "points") if how == "left" else df
+    value = _number(F.col(point), df.schema[point].dataType)
+    places = F.array(*[F.struct(F.lit(s).alias("__size"), bin_of(value, F.lit(s)).alias("__bin")) for s in sizes]).cast("array<struct<__size:int,__bin:bigint>>")
+    placed = rows.filter(F.col(point).isNotNull()).select("*", F.inline(places))
+    inside = (F.col(point) >= F.col(low)) & ((F.col(point) < F.col(high)) if closed == "left" else (F.col(point) <= F.col(high)))
+    met = placed.join(held, ["__size", "__bin"]).filter(inside).drop("__size", "__bin")
+    if how == "inner":
+        return met
+    alone = rows.join(met.select("__row").distinct(), "__row", "left_anti")
+    return met.unionByName(alone, allowMissingColumns=True).drop("__row")
+
+
 def date_axis(spark, start: str, end: str, unit: str = "day", name: str = "day") -> DataFrame:
     """One row per day or month of a fixed calendar span."""
     step = F.expr(f"interval 1 {unit}")

@@ -11,7 +11,7 @@ from stocktally.operators.history import segment_snapshot
 from stocktally.plans import costs, customers, inventory, products, purchasing, sales
 from stocktally.plans.quality import Expectation, Finding
 from stocktally.sources import silver
-from stocktally.sources.sinks import archive_then_overwrite, checked_commit, current, merge_by_key, read_merged, read_table, replace_table, table_exists
+from stocktally.sources.sinks import archive_then_overwrite, checked_commit, current, merge_by_key, read_merged, read_table, replace_table, table_exists, write_bucketed
 from stocktally.sources.tables import Tables
 
 # Read by many models: written once, so later reads scan files instead of
@@ -48,6 +48,26 @@ def materialize(tables: Tables, root: str, names: Sequence[str] = SHARED, checks
             tables.put(name, read_table(frame.sparkSession, path))
 
 
+# Keys by which readers join the stored models.
+LAYOUT = {
+    "f_sales": ("order_id",), "int_shop_items": ("order_id",), "int_item_costs": ("order_id",), "int_magento_order_freight": ("order_id",),
+    "d_product": ("product_id",), "int_sales_cost_fallback": ("product_id",), "int_magento_product_eav_lookups": ("entity_id",),
+    "inventory_qtyinventory": ("part_id",), "f_pos": ("part_id",), "int_receipt_lines": ("part_id",),
+}
+
+
+def lay_out(tables: Tables, buckets: int, names: Sequence[str] = tuple(LAYOUT), prefix: str = "", root: str | None = None) -> None:
+    """Store models as catalog tables bucketed by their join keys and read later uses from these.
+
+    The number of buckets is the same for all, so that f_sales meets its order facts without an exchange; choose it so
+    that a bucket of the largest table is some hundred MB.
+    """
+    for name in names:
+        if name in set(tables):
+            path = f"{root}/{name}" if root else None
+            tables.put(name, write_bucketed(tables[name], prefix + name, LAYOUT[name], buckets, path))
+
+
 def sales_by_month(rows: DataFrame) -> DataFrame:
     return rows.withColumn("sold_month", F.date_format("created_at", "yyyy-MM"))
 

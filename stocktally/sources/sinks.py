@@ -140,6 +140,16 @@ def merge_by_key(
     return checked_commit(spark, path, result, after, checks, partition_by=partition_by, keep=lambda p: p not in touched)
 
 
+def write_bucketed(df: DataFrame, table: str, by: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Store df as a catalog table in buckets of its keys, sorted by them, one file per bucket; gives the table.
+
+    Tables bucketed alike on the columns of a join or a grouping need no exchange for it. With a path the files lie there.
+    """
+    writer = df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def merge_sql(target: str, source: str, keys: Sequence[str]) -> str:
     """MERGE statement for table formats that support it."""
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
