@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stocktally.functions import variants
 from stocktally.operators import joins, parity, sketches
-from stocktally.plans import build
+from stocktally.plans import build, smoothing
 from stocktally.session import shared_folder
 from stocktally.sources.tables import Tables
 from workload.registry import add
@@ -108,3 +108,60 @@ def bucketed_sales(t):
 
 add("join_of_bucketed_tables", bucketed_sales,
     "select s.order_id, count(*) as items, sum(f.shipping_amount) as shipping from {f_sales} s join {int_magento_order_freight} f on f.order_id = s.order_id group by 1", "shipping")
+
+
+# --- smoothing with rates chosen by rolling origins ---------------------------------------------------
+def smoothing_sql(series: str, key: str, day: str, y: str, horizon: int, origins: int, stride: int) -> str:
+    """The same fold as a recursive statement: one step a day, for all series and rates at once."""
+    grid = ", ".join(f"({p}, {a}::double, {b}::double, {g}::double)" for p, (a, b, g) in enumerate(smoothing.GRID))
+    ahead = "greatest(lvl + s * tr + se[(s - 1) % 7 + 1], 0)"
+    return f"""with recursive sums as (select {key} as g0, {day} as day, sum({y}) as y from {series} group by 1, 2),
+ spans as (select g0, min(day) as f, max(day) as l from sums group by 1),
+ dense as (select s.g0, d::date as day, coalesce(x.y, 0.0) as y, row_number() over (partition by s.g0 order by d) as i
+  from (select g0, unnest(generate_series(f::timestamp, l::timestamp, interval 1 day)) as d from spans) s left join sums x on x.g0 = s.g0 and x.day = s.d::date),
+ arr as (select g0, count(*) as n, list(y order by i) as ys from dense group by 1),
+ grid(p, a, b, g) as (values {grid}),
+ fold(g0, p, i, lvl, tr, se) as (
+  select g0, p, 7::bigint, list_avg(ys[1:7]), (list_avg(ys[8:14]) - list_avg(ys[1:7])) / 7, list_transform(ys[1:7], lambda v: v - list_avg(ys[1:7])) from arr, grid where n >= 14
+  union all
+  select g0, p, i + 1, nl, b * (nl - lvl) + (1 - b) * tr, list_concat(se[2:7], [g * (v - nl) + (1 - g) * se[1]])
+  from (select f.*, a, b, g, d.y as v, a * (d.y - se[1]) + (1 - a) * (lvl + tr) as nl from fold f join dense d on d.g0 = f.g0 and d.i = f.i + 1 join grid using (p))),
+ losses as (select f.g0, p, sum(abs(ys[f.i + s] - {ahead})) as loss from fold f join arr using (g0), range(1, {horizon} + 1) r(s), range({origins}) o(k)
+  where f.i = n - {horizon} - k * {stride} and f.i >= 14 group by 1, 2),
+ best as (select g0, p from (select c.g0, c.p, row_number() over (partition by c.g0 order by round(coalesce(loss, 0), 6), c.p) as r
+  from (select distinct g0, p from fold) c left join losses l on l.g0 = c.g0 and l.p = c.p) where r = 1)
+ select g0 as {key}, (f + (n + s - 1)::int)::date as forecast_date, {ahead} as predicted_units, a, b, g
+ from fold join best using (g0, p) join arr using (g0) join spans using (g0) join grid using (p), range(1, {horizon} + 1) r(s) where fold.i = n"""
+
+
+_PRIORITY = "(select o_orderpriority, cast(o_orderdate as date) as day, sum(o_totalprice) as y from orders group by 1, 2)"
+
+
+def _daily(t):
+    return t["orders"].groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias("day")).agg(F.sum("o_totalprice").alias("y"))
+
+
+add("forecast_smoothed", lambda t: smoothing.smooth_forecast(_daily(t), ["o_orderpriority"], "day", "y", 14, 4),
+    smoothing_sql(_PRIORITY, "o_orderpriority", "day", "y", 14, 4, 30), {"predicted_units": 2, "a": 3, "b": 3, "g": 3})
+add("forecast_smoothed_backtest", lambda t: smoothing.smooth_backtest(_daily(t), ["o_orderpriority"], "day", "y", "2001-03-15"),
+    f"""select d.o_orderpriority, avg(abs(d.y - predicted_units) / d.y * 100) as mape, count(*) as days from {_PRIORITY} d
+ join ({smoothing_sql(f"(select * from {_PRIORITY} where day <= date '2001-03-15')", 'o_orderpriority', 'day', 'y', 60, 6, 30)}) f
+ on f.o_orderpriority = d.o_orderpriority and forecast_date = d.day where d.day > date '2001-03-15' and d.day <= date '2001-03-15' + 30 and d.y > 0 group by 1""", "mape")
+
+
+def _coverage(t):
+    """Bounds at 90 % from errors before each of three cutoffs: the share of the next days inside lies near the level."""
+    key, inside = ["o_orderpriority"], None
+    for cutoff in ("2000-11-30", "2001-02-28", "2001-05-31"):
+        day = F.col("day")
+        past = _daily(t).filter(day <= F.lit(cutoff).cast("date"))
+        made = smoothing.smooth_forecast(past, key, "day", "y", 28)
+        after = F.datediff("forecast_date", F.lit(cutoff).cast("date"))
+        bounded = smoothing.with_bounds(made.filter(after > 0), smoothing.residual_sketches(past, key, "day", "y", 35, 40), key, after, 0.9)
+        actual = _daily(t).filter((day > F.lit(cutoff).cast("date"))).select("o_orderpriority", day.alias("forecast_date"), "y")
+        days = bounded.join(actual, ["o_orderpriority", "forecast_date"], "left").select(F.coalesce("y", F.lit(0.0)).between(F.col("lower_bound"), F.col("upper_bound")).alias("inside"))
+        inside = days if inside is None else inside.unionByName(days)
+    return inside.agg((F.abs(F.avg(F.col("inside").cast("double")) - 0.9) <= 0.1).alias("near_level"))
+
+
+add("forecast_bounds_coverage", _coverage, "select true as near_level from orders limit 1")
