@@ -280,3 +280,19 @@ def first_abnormal_event(captures: DataFrame, key: str, events: str, started: st
         F.col("__e")["count"].alias("event_count"),
         F.when(inferred, "inferred").otherwise("authoritative").alias("confidence"),
     )
+
+
+def first_abnormal_of_log(events: DataFrame, keys: Sequence[str | Column], reason: str | Column, ts: str, count: Column, started: Column | None = None) -> DataFrame:
+    """The same from a log with one row per event: keys, started, first_reason, first_event_ts, event_count, confidence.
+
+    One minimum per key, combined before the shuffle: no key's events come together in one cell or task. Events without
+    a time come last, ties go to the smaller reason. `started` is the begin of the attempt, by default its first event.
+    """
+    named = lambda c: F.col(c) if isinstance(c, str) else c
+    entry = F.struct(F.col(ts).isNull().alias("none"), F.col(ts).alias("first_ts"), named(reason).alias("reason"), count.alias("count"))
+    first = events.groupBy(*keys).agg(F.min(entry).alias("__e"), F.min(started if started is not None else F.col(ts)).alias("started"))
+    inferred = (F.col("__e")["count"] > 1) | (F.col("__e")["first_ts"] > F.col("started"))
+    return first.withColumns({
+        "first_reason": F.col("__e")["reason"], "first_event_ts": F.col("__e")["first_ts"], "event_count": F.col("__e")["count"],
+        "confidence": F.when(inferred, "inferred").otherwise("authoritative"),
+    }).drop("__e")

@@ -9,13 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stocktally.operators.cdc import DELETED, cdc_latest
 from stocktally.operators.windows import first_per_key
-from stocktally.sources.sinks import merge_by_key, read_merged, table_exists
+from stocktally.sources.sinks import current, merge_by_key, read_merged, table_exists
+from stocktally.sources.versions import part_of, read_version
 
 
 def cdc_stream_upsert(
     stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str,
     clean: Callable[[DataFrame], DataFrame] | None = None, newest_first: Callable[[], Sequence[Column]] | None = None,
-    partition_by: str | None = None, once: bool = True, tombstone: Callable[[], Column] | None = None, tombstone_mode: str = "filter_first",
+    partition_by: str | None = None, fixed_partition: bool = False, once: bool = True, tombstone: Callable[[], Column] | None = None, tombstone_mode: str = "filter_first",
 ) -> StreamingQuery:
     """Upsert newly arriving change records into a parquet table.
 
@@ -24,6 +25,9 @@ def cdc_stream_upsert(
     a late, older record never replaces a newer one. Replaying a batch after a
     failure writes the same rows again, so the result does not change.
 
+    With fixed_partition a key never changes its partition, as when a bucket of the key is the partition: then only the
+    partitions that a batch touches are read. `keyed.keyed_upsert` reads none.
+
     filter_first ignores delete records, as the batch operator does. latest_wins keeps
     the newest record of a key even if it is a delete, marked in `is_deleted`: an older
     record that comes later does not bring the key back. `live_rows` reads the others.
@@ -43,7 +47,13 @@ def cdc_stream_upsert(
         session = batch.sparkSession
         if newest_first and table_exists(session, path):
             ids = rows.select(*keys).distinct()
-            known = read_merged(session, path, rows, partition_by).join(ids, list(keys), "left_semi")
+            at = current(session, path)
+            if fixed_partition and at is not None and partition_by:
+                touched = [r[0] for r in rows.select(part_of(partition_by)).distinct().collect()]  # folders that are written too
+                stored = read_version(session, path, at, touched)
+            else:
+                stored = read_merged(session, path, rows, partition_by)
+            known = stored.join(ids, list(keys), "left_semi")
             rows = first_per_key(rows.unionByName(known), keys, newest_first())
         merge_by_key(session, path, rows, keys, partition_by)
 

@@ -170,10 +170,11 @@ def test_stream_keeps_the_newer_record(spark, rows):
     from stocktally.sources.sinks import read_table
     from stocktally.streaming.live import cdc_stream_upsert
 
-    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     newest = lambda: [F.col("t").desc()]
-    for batch in ([(1, 10, "new"), (2, 1, "a")], [(1, 5, "older"), (2, 2, "b")]):
-        spark.createDataFrame(batch, "k int, t int, v string").write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema("k int, t int, v string").parquet(f"{root}/in")
-        cdc_stream_upsert(stream, f"{root}/out", ["k"], f"{root}/check", newest_first=newest).awaitTermination()
-    assert rows(read_table(spark, f"{root}/out"), "k", "v") == [(1, "new"), (2, "b")]
+    for by in ({}, {"partition_by": "p", "fixed_partition": True}):
+        root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+        for batch in ([(1, 10, "new"), (2, 1, "a")], [(1, 5, "older"), (2, 2, "b")]):
+            spark.createDataFrame(batch, "k int, t int, v string").write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema("k int, t int, v string").parquet(f"{root}/in").withColumn("p", F.col("k") % 2)
+            cdc_stream_upsert(stream, f"{root}/out", ["k"], f"{root}/check", newest_first=newest, **by).awaitTermination()
+        assert rows(read_table(spark, f"{root}/out"), "k", "v") == [(1, "new"), (2, "b")]

@@ -205,3 +205,17 @@ def test_slices_are_bounded_on_one_key_and_one_day(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert len(tasks) >= 4 and max(tasks) <= 2000
     assert got.filter("(v = 0 and prev is not null) or (v > 0 and prev <> v - 1)").isEmpty()
+
+
+def test_first_abnormal_event_of_arrays_and_of_a_log(spark):
+    from stocktally.plans import usage
+
+    log = [("a", "x", 5, 1), ("a", "late", 9, 1), ("a", "y", 5, 2), ("b", "no time", None, 1), ("b", "x", 3, 3), (None, "z", 1, 1), ("c", "only", None, 1)]
+    rows = spark.createDataFrame(log, "k string, reason string, first_ts int, count int")
+    flat = usage.first_abnormal_of_log(rows, ["k"], "reason", "first_ts", F.col("count"), F.lit(4))
+    arrays = rows.groupBy("k").agg(F.collect_list(F.struct("reason", "first_ts", "count")).alias("events"), F.lit(4).alias("started"))
+    nested = usage.first_abnormal_event(arrays, "k", "events", "started")
+    columns = ["k", "first_reason", "first_event_ts", "event_count", "confidence"]
+    got = sorted(map(tuple, flat.select(*columns).collect()), key=str)
+    assert got == sorted(map(tuple, nested.select(*columns).collect()), key=str)
+    assert got == sorted([("a", "x", 5, 1, "inferred"), ("b", "x", 3, 3, "inferred"), (None, "z", 1, 1, "authoritative"), ("c", "only", None, 1, "authoritative")], key=str)

@@ -175,11 +175,8 @@ add("freshness_crossed", lambda t: usage.crossed_since(
  where staleness_min >= 60 and staleness_min < 600 and staleness_min < 60 + 120""")
 add("repeat_incidents", lambda t: usage.repeat_incidents(t["events"], "user_id", "ts", "event_type", "error", "2024-01-30 12:00:00", 2880),
     "select user_id, count(*) as n from events where event_type = 'error' and ts >= timestamp '2024-01-28 12:00:00' group by 1")
-add("first_abnormal_event", lambda t: usage.first_abnormal_event(
-    t["events"].groupBy(F.col("user_id"), F.col("ts").cast("date").alias("day")).agg(
-        F.collect_list(F.struct(F.col("event_type").alias("reason"), F.col("ts").alias("first_ts"), F.when(F.col("event_type") == "error", 2).otherwise(1).alias("count"))).alias("events"),
-        F.min("ts").alias("started")).select(F.struct("user_id", "day").alias("k"), "events", "started"), "k", "events", "started")
-    .select("k.user_id", "k.day", "first_reason", "first_event_ts", "event_count", "confidence"),
+add("first_abnormal_event", lambda t: usage.first_abnormal_of_log(
+    t["events"], ["user_id", F.col("ts").cast("date").alias("day")], "event_type", "ts", F.when(F.col("event_type") == "error", 2).otherwise(1)).drop("started"),
     """select user_id, cast(ts as date) as day, event_type as first_reason, ts as first_event_ts, case when event_type = 'error' then 2 else 1 end as event_count,
  case when event_type = 'error' then 'inferred' else 'authoritative' end as confidence from (
  select *, row_number() over (partition by user_id, cast(ts as date) order by ts, event_type) as r from events) where r = 1""")
