@@ -96,6 +96,20 @@ def erp_name(column: str, entity: str, noun: str | None = None, kind: str | None
     return spelled(c), False
 
 
+def unsplit(column: str) -> str | None:
+    """The part of an ERP column's name that the word list cannot split, and that the rule would leave as it came."""
+    c = column.lower()
+    if c.startswith("_") or c in SHORT_KEYS or c in ("id", "num", "typeid", "statusid") or c in BARE:
+        return None
+    if c.endswith("flag") and c != "flag":
+        c = c[:-4]
+    elif c.startswith("date") and len(c) > 4:
+        c = c[4:]
+        if c in DATED:
+            return None
+    return c if split_words(c) is None else None
+
+
 def shop_name(column: str) -> str:
     c = column.lower()
     return "quantity_" + c[4:] if c.startswith("qty_") else c

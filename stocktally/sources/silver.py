@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from stocktally.config import DEFAULT, RetailConfig
 from stocktally.operators.cdc import METADATA, cdc_latest
 from stocktally.operators.identity import customer_identity
-from stocktally.sources.naming import erp_name, shop_name
+from stocktally.sources.naming import erp_name, shop_name, unsplit
 from stocktally.sources.tables import Tables
 
 
@@ -250,9 +251,27 @@ def output_names(model: str, columns: list[str]) -> tuple[dict[str, str], tuple[
     return names, tuple(c for c in columns if c.lower() in flags)
 
 
-def clean(model: str, landing: DataFrame, tombstone_mode: str = "filter_first") -> DataFrame:
-    """Newest live version of every key, with clean names and types."""
+def unknown_columns(model: str, columns: list[str]) -> list[str]:
+    """Landing columns of an ERP model that neither its list nor the naming rule can name."""
+    if model not in ERP:
+        return []
+    spec = ERP[model]
+    listed = {*spec.names, *spec.keep, *spec.leave, *LOG_COLUMNS, *METADATA}
+    return [c for c in columns if c.lower() not in listed and not spec.keep and unsplit(c) is not None]
+
+
+def clean(model: str, landing: DataFrame, tombstone_mode: str = "filter_first", unknown: str = "warn") -> DataFrame:
+    """Newest live version of every key, with clean names and types.
+
+    A landing column whose words are not known passes under its raw name: with a warning, or, unknown="raise", not at all.
+    """
     spec = ERP.get(model) or SHOP[model]
+    strange = unknown_columns(model, landing.columns) if unknown != "keep" else []
+    if strange:
+        said = f"{model}: no clean name is known for {', '.join(strange)}"
+        if unknown == "raise":
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=2)
     names, flags = output_names(model, landing.columns)
     live = landing
     if spec.key is not None:

@@ -84,3 +84,22 @@ def test_every_model_cleans_its_log(spark, model):
     flags = silver.output_names(model, columns)[1]
     types = dict(clean.dtypes)
     assert all(types[silver.output_names(model, columns)[0][f]] == "boolean" for f in flags)
+
+
+def test_columns_without_known_words_are_told(spark):
+    import warnings
+
+    import pytest
+
+    from stocktally.sources import silver
+
+    landing = spark.createDataFrame([(1, "n", "q", None, 1)], "id int, num string, zzqx string, _ab_cdc_deleted_at string, _airbyte_extracted_at long")
+    with pytest.warns(UserWarning, match="fishbowl_so: no clean name is known for zzqx"):
+        assert "zzqx" in silver.clean("fishbowl_so", landing).columns
+    with pytest.raises(ValueError, match="zzqx"):
+        silver.clean("fishbowl_so", landing, unknown="raise")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        silver.clean("fishbowl_so", landing.drop("zzqx"))
+        silver.clean("fishbowl_so", landing, unknown="keep")
+    assert all(not silver.unknown_columns(m, [*s.names, *s.keep, *s.flags]) for m, s in silver.ERP.items())
