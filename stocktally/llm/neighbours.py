@@ -157,8 +157,12 @@ def _placed(vectors: DataFrame, shared: Shared | None, query: bool, dims: int) -
     return vectors.select("__id", "__vector").mapInArrow(run, "__bucket long, __id long, __vector binary")
 
 
-def _searched(queries: DataFrame, rows: DataFrame, shared: Shared | None, k: int, block: int, dims: int) -> DataFrame:
-    """(query_id, vec_id, score): the best of each block of each bucket that a query probes."""
+def _searched(queries: DataFrame, rows: DataFrame, shared: Shared | None, k: int, block: int, asked_block: int, dims: int) -> DataFrame:
+    """(query_id, vec_id, score): the best of each block of each bucket that a query probes.
+
+    The queries of a bucket are cut into turns of about `asked_block`, each with its own copy of the bucket's blocks, so
+    that a task holds a bounded number of rows and of queries.
+    """
     placed = _placed(rows, shared, False, dims)
     sizes = cut_lineage(placed.groupBy("__bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__parts")), "buckets")
     if shared is None or sizes.count() <= 100_000:
@@ -166,7 +170,14 @@ def _searched(queries: DataFrame, rows: DataFrame, shared: Shared | None, k: int
     # A bucket is cut into blocks; a query visits each block of its buckets.
     index = placed.join(sizes, "__bucket").withColumn("__part", F.pmod(F.xxhash64(F.lit(5), "__id"), F.col("__parts")).cast("int"))
     asked = _placed(queries, shared, True, dims).join(sizes, "__bucket").withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    columns = ["__bucket", "__part", "__id", "__vector"]
+    turns = _placed(queries, shared, True, dims).groupBy("__bucket").agg(F.ceil(F.count(F.lit(1)) / asked_block).cast("int").alias("__turns"))
+    turns = cut_lineage(turns.filter(F.col("__turns") > 1), "turns")
+    if shared is None or turns.count() <= 100_000:
+        turns = F.broadcast(turns)
+    several = F.coalesce("__turns", F.lit(1))
+    index = index.join(turns, "__bucket", "left").withColumn("__turn", F.explode(F.sequence(F.lit(0), several - 1)))
+    asked = asked.join(turns, "__bucket", "left").withColumn("__turn", F.pmod(F.xxhash64(F.lit(6), "__id"), several).cast("int"))
+    columns = ["__bucket", "__part", "__turn", "__id", "__vector"]
     both = index.select(*columns, F.lit(False).alias("__asked")).unionByName(asked.select(*columns, F.lit(True).alias("__asked")))
 
     def best(group: pa.Table) -> pa.Table:
@@ -180,19 +191,19 @@ def _searched(queries: DataFrame, rows: DataFrame, shared: Shared | None, k: int
             found = [np.concatenate(c) for c in zip(*parts, strict=True)]
         return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
-    return both.groupBy("__bucket", "__part").applyInArrow(best, "query_id long, vec_id long, score double")
+    return both.groupBy("__bucket", "__part", "__turn").applyInArrow(best, "query_id long, vec_id long, score double")
 
 
 def nearest(
     vectors: DataFrame, is_query, *, vector: str = "embedding", key: str = "vec_id", k: int = 5, tables: int = 6, keys: int = 3,
-    width: float = 1.0, probes: int = 16, block: int = 1024, seed: int = 0,
+    width: float = 1.0, probes: int = 16, block: int = 1024, asked_block: int = 8192, seed: int = 0,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest cosine that multiprobe hashing finds.
 
     Vectors are scaled to length 1 and hashed on Gaussian projections into `tables` tables; a query visits `probes`
     buckets of each, its own and those behind the borders it is closest to, in estimated success order. Every row
     met is compared exactly, on the original vectors in double precision. Buckets of any size are searched whole, in
-    blocks of about `block` rows. A query that has met fewer than k rows is compared with all rows.
+    blocks of about `block` rows, for `asked_block` queries at a time. A query that has met fewer than k rows is compared with all rows.
 
     Rows without an id and vectors that are null, empty, zero, of another length than most, or that hold null or non-finite parts take no
     part. Of several rows with one id the best counts; a query's own id is never its neighbour. Ties go to smaller
@@ -212,10 +223,10 @@ def nearest(
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return once.withColumn("rank", rank).filter(F.col("rank") <= k)
 
-    result = cut_lineage(ranked(_searched(queries, good, shared, k, block, dims)), "nearest")
+    result = cut_lineage(ranked(_searched(queries, good, shared, k, block, asked_block, dims)), "nearest")
     full = result.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= k)
     short = queries.join(full, F.col("__id") == F.col("query_id"), "left_anti").select("__id", "__vector")
     if short.isEmpty():
         return result.select("query_id", "rank", "vec_id", "score")
-    rest = ranked(_searched(short, good, None, k, block, dims))
+    rest = ranked(_searched(short, good, None, k, block, asked_block, dims))
     return result.join(full.select("query_id"), "query_id", "left_semi").unionByName(rest).select("query_id", "rank", "vec_id", "score")

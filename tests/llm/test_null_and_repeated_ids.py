@@ -119,6 +119,16 @@ def test_quality_scores_against_force(spark):
     assert all(abs(w * shown[int(y)] - {0: 500, 1: 3000}[int(y)]) < 1e-6 for w, y in zip(model.weights, model.labels, strict=True))
 
 
+def test_queries_of_a_bucket_in_turns(spark):
+    from stocktally.llm.neighbours import nearest
+
+    vectors = table(spark, SMALL, "embeddings")
+    extra = spark.range(10_000, 10_400).select((F.col("id") * 50).alias("vec_id"), F.array([F.lit(1.0).cast("float")] * 64).alias("embedding"))
+    vectors = vectors.select("vec_id", "embedding").unionByName(extra)
+    want, got = (sorted(map(tuple, nearest(vectors, F.col("vec_id") % 50 == 0, block=100, asked_block=n).collect())) for n in (8192, 60))
+    assert got == want and len(want) == 5 * (400 + 10)
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     import corpus_pipeline as cp
 
