@@ -180,6 +180,40 @@ def test_toxicity_counts_every_gram(spark):
     assert ratio[1000] > 1 and ratio[1001] == 0
 
 
+def grams_by_force(word):
+    """n-grams of eight bytes that end at each byte of a word and at the zero byte after it; blanks before it are zero."""
+    held = b"\0" * 7 + word + b"\0"
+    return [int.from_bytes(held[i : i + 8][::-1], "little") for i in range(len(word) + 1)]
+
+
+def test_toxicity_ratios_against_force(spark):
+    """Counts, word values and sums over whole texts from plain loops; only the n-grams' ratios are the library's."""
+    from stocktally.llm import toxicity as tox
+
+    words = lambda t: (t or "").lower().encode().split()
+    docs = table(spark, SMALL, "documents").select("doc_id", "text").limit(120)
+    data = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "é " * 30), (5, None), (6, ""), (7, "same same SAME")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    ids = [i for i in {i for i, _ in data if i is not None}]
+    labels = {i: int(i % 4 == 0) for i in ids}
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i in ids}
+    counts = [Counter(), Counter()]
+    for i, t in data:
+        if i is not None and fold[i] not in (0, 4):
+            for w in words(t):
+                counts[labels[i]].update(grams_by_force(w))
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    table_ = [(signed(g), counts[1][g], counts[0][g]) for g in {*counts[0], *counts[1]}]
+    ratio = {r.gram: r.ratio for r in tox.gram_ratios(spark.createDataFrame(table_, "gram long, toxic long, ordinary long"), 20.0).collect()}
+    want = []
+    for i, t in data:
+        total = sum(max(sum(ratio.get(signed(g), 0) for g in grams_by_force(w)) - round(0.5 * tox._UNIT), 0) for w in words(t))
+        want.append((i, t, total / tox._UNIT / max(len(words(t)), 1)))
+    got = tox.score_toxicity(df, spark.createDataFrame([(i, 1, y) for i, y in labels.items()], LABELS), margin=0.5).collect()
+    as_text = lambda rows_: sorted((str(i), str(t), round(x, 9)) for i, t, x in rows_)
+    assert as_text((r.doc_id, r.text, r.ratio) for r in got) == as_text(want) and sum(w[2] > 0 for w in want) > 20
+
+
 def test_gram_ratios_against_numpy(spark):
     from stocktally.llm import toxicity as tox
     from stocktally.llm.common import Words
@@ -201,7 +235,11 @@ def test_gram_ratios_against_numpy(spark):
     _, at = np.unique(codes >> np.uint64(8), return_inverse=True)
     totals = [np.bincount(at, x)[at] for x in n]
     back, p = 20 / (np.minimum(*totals) + 20), pooled(codes, n.sum(0).astype(float), 8)
-    logs = [np.log((1 - back) * x / np.maximum(t, 1) + back * p) for x, t in zip(n, totals, strict=True)]
+    logs = []
+    for x, t in zip(n, totals, strict=True):
+        kinds = np.bincount(at, x > 0)[at]  # how many different bytes the class has seen after the context
+        own = np.where(t > 0, (np.maximum(x - 0.75, 0) + 0.75 * kinds * p) / np.maximum(t, 1), p)
+        logs.append(np.log((1 - back) * own + back * p))
     counts = spark.createDataFrame(list(zip(codes.view(np.int64).tolist(), *n.tolist(), strict=True)), "gram long, toxic long, ordinary long")
     got = dict(map(tuple, tox.gram_ratios(counts, 20.0).collect()))
     want = dict(zip(codes.view(np.int64).tolist(), logs[0] - logs[1], strict=True))
