@@ -14,7 +14,7 @@ from stocktally.llm.common import Shared, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
-_CACHED = 300_000  # segments of one of two generations that a worker remembers
+_CACHED = 100_000  # segments of one of two generations that a worker remembers
 _KNOWN_PAIRS = 300_000
 
 
