@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -11,6 +14,7 @@ from stocktally.session import cut_lineage
 
 SHINGLE = 5
 THRESHOLD = 0.8
+_STEP = 3  # levels by which a crowded prefix grows
 _CELLS = 4_000_000  # of one dense block of set memberships
 
 
@@ -23,6 +27,12 @@ def depth_for(trees: int, deepest: int, threshold: float, recall: float) -> int:
     return depth
 
 
+def trees_for(depth: int, threshold: float, recall: float) -> int:
+    """How many trees give pairs at the threshold a common prefix of this depth with the target probability."""
+    missed = 1 - threshold**depth
+    return 1 if missed <= 0 else max(1, math.ceil(math.log(max(1 - recall, 1e-12)) / math.log(missed)))
+
+
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the word n-grams of each text; a shorter text is one n-gram, an empty one none."""
     words = Words(texts)
@@ -55,11 +65,12 @@ def set_key(s: np.ndarray) -> bytes:
         return np.array([s.sum(dtype=np.uint64), mix64(s ^ np.uint64(0xA5A5A5A5DEADBEEF)).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64).tobytes()
 
 
-def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int) -> DataFrame:
-    """(doc_id, row key, __class, __n, __nodes): key and size of the shingle set, and the trie node reached in each tree."""
+def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int, keep: list[str] = ["doc_id", "__x", "__y"]) -> DataFrame:
+    """(kept columns, __class, __n, __nodes): key and size of the shingle set, and the trie node reached in each tree."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     salts = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
+    chunk = max(64, _CELLS // 10 // (trees * depth))
 
     def compute(texts):
         keys, sizes, nodes = [], [], []
@@ -70,15 +81,59 @@ def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int) -> D
                 nodes.append([])
                 continue
             lows = np.full(trees * depth, np.iinfo(np.uint64).max, np.uint64)
-            for a in range(0, len(s), 4096):
-                lows = np.minimum(lows, ((s[a : a + 4096, None] ^ salts) * factors).min(axis=0))
+            for a in range(0, len(s), chunk):
+                lows = np.minimum(lows, ((s[a : a + chunk, None] ^ salts) * factors).min(axis=0))
             prefix = mix64(np.arange(trees, dtype=np.uint64) + np.uint64(1))
             for level in lows.reshape(trees, depth).T:
                 prefix = mix64(prefix ^ mix64(level))
             nodes.append(prefix.view(np.int64))
         return [keys, sizes, nodes]
 
-    return with_columns(docs, "text", "__class binary, __n long, __nodes array<long>", compute, keep=["doc_id", "__x", "__y"])
+    return with_columns(docs, "text", "__class binary, __n long, __nodes array<long>", compute, keep=keep)
+
+
+def forest(
+    classes: DataFrame, rows: DataFrame, *, shingle: int, threshold: float, trees: int, depth: int, deepest: int, crowd: int, seed: int
+) -> DataFrame:
+    """(__class, __head, __depth): stars of classes that share a prefix, and the depth to which it was shortened.
+
+    The target recall allows prefixes of `depth` in the given trees. Where a node holds more than `crowd` classes, its
+    classes are crowded and keep longer prefixes, up to `deepest`, in as many more trees as give the same recall. Two
+    classes meet at the first depth at which one of them is not crowded. The hash functions of a depth are its own, so
+    that a crowd found at one depth says nothing about matches at the next: a pair at the threshold is missed with the
+    sum of the depths' probabilities at most. Longer prefixes are made of the texts (`rows`: row key, text) of crowded
+    classes only. Nodes are counted before they are joined, and a node of any size becomes a star.
+    """
+    missed = (1 - threshold**depth) ** trees
+    members = classes.select("__class", F.explode("__nodes").alias("__node"))
+    texts, found = None, []
+    while True:
+        nodes = cut_lineage(
+            members.groupBy("__node").agg(F.min("__class").alias("__head"), F.count(F.lit(1)).alias("__m")).filter(F.col("__m") > 1), "nodes"
+        )
+        full = nodes.filter(F.col("__m") > crowd).select("__node")
+        if depth >= deepest or full.isEmpty():
+            found.append(_stars(members, nodes, depth))
+            return reduce(DataFrame.unionByName, found)
+        crowded = cut_lineage(join_small(members, full, "__node", "left_semi").select("__class").distinct(), "crowded")
+        # A star's head is not crowded: crowded classes meet each other here only through one that is not.
+        shared = join_small(members, nodes.filter(F.col("__m") <= crowd).select("__node"), "__node", "left_semi")
+        heads = join_small(shared, crowded, "__class", "left_anti").groupBy("__node").agg(F.min("__class").alias("__head"))
+        found.append(_stars(shared, heads, depth))
+        if texts is None:
+            shown = join_small(classes, crowded, "__class", "left_semi").select("__class", "__shown.*")
+            texts = cut_lineage(join_small(rows, shown, ["__x", "__y"], "inner").select("__class", "text"), "crowd")
+        else:
+            texts = join_small(texts, crowded, "__class", "left_semi")
+        depth, seed = min(depth + _STEP, deepest), seed + 1
+        longer = sketches(texts, shingle, trees_for(depth, threshold, 1 - missed), depth, seed, keep=[])
+        longer = cut_lineage(longer.select("__class", "__nodes").dropDuplicates(["__class"]), "longer")  # equal rows show one class
+        members = longer.select("__class", F.explode("__nodes").alias("__node"))
+
+
+def _stars(members: DataFrame, heads: DataFrame, depth: int) -> DataFrame:
+    joined = join_small(members, heads.select("__node", "__head"), "__node", "inner").filter(F.col("__class") != F.col("__head"))
+    return joined.select("__class", "__head", F.lit(depth).alias("__depth")).distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -184,14 +239,15 @@ def _verify(size: int, threshold: float):
 
 
 def near_duplicates(
-    docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, trees: int = 20, deepest: int = 8, recall: float = 0.999,
-    block: int = 64, seed: int = 0,
+    docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, trees: int = 20, deepest: int = 14, recall: float = 0.999,
+    block: int = 64, crowd: int = 256, seed: int = 0,
 ) -> DataFrame:
     """One row per document: doc_id, class_id, copy_of, n_copies, n_links, n_shingles.
 
     Texts with equal sets of `shingle`-word shingles form one class of copies (copy_of: its smallest id). Signatures
-    of the classes enter `trees` sorted prefix tries; matched prefixes are shortened to the depth at which a pair at
-    the threshold meets in some tree with probability `recall`. Candidates that hang together are compared exactly,
+    of the classes enter `trees` prefix tries; prefixes are shortened to the depth at which a pair at the threshold
+    meets in some tree with probability `recall`; classes in nodes of more than `crowd` classes keep longer prefixes,
+    up to `deepest`, in more trees for the same recall (see `forest`). Candidates that hang together are compared exactly,
     in blocks of about `block` classes against one another, so that a group of any size is spread over tasks and no
     pair is ever a row. class_id is the smallest id of the documents linked, directly or through others, with
     Jaccard similarity at or above the threshold; n_links counts all other documents that reach it, copies included.
@@ -202,7 +258,7 @@ def near_duplicates(
     where no row of the group or class has one. Texts of any length are compared whole. An empty table gives an empty
     result. Other columns are ignored.
     """
-    marked = _marked(docs, shingle, threshold, trees, deepest, recall, block, seed)
+    marked = _marked(docs, shingle, threshold, trees, deepest, recall, block, crowd, seed)
     return marked.select(
         "doc_id",
         F.coalesce("__group", "__first", "doc_id").alias("class_id"),
@@ -218,7 +274,7 @@ def _row_key() -> list:
     return [F.xxhash64(F.lit(s), F.col("doc_id"), F.col("text")).alias(n) for s, n in ((31, "__x"), (37, "__y"))]
 
 
-def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest: int, recall: float, block: int, seed: int) -> DataFrame:
+def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest: int, recall: float, block: int, crowd: int, seed: int) -> DataFrame:
     """One row per document: doc_id, row key, class, its size, and where there are copies or links: class facts, label of the group."""
     depth = depth_for(trees, deepest, threshold, recall)
     plain = docs.select("doc_id", "text")
@@ -229,12 +285,11 @@ def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest
             F.min(F.struct("__x", "__y")).alias("__shown"),  # the row whose text stands for the class
         ), "classes",
     )
-    members = classes.select("__class", F.explode("__nodes").alias("__node"))
-    heads = members.groupBy("__node").agg(F.min("__class").alias("__head"), F.count(F.lit(1)).alias("__m")).filter(F.col("__m") > 1)
-    edges = cut_lineage(
-        join_small(members, heads.select("__node", "__head"), "__node", "inner").filter(F.col("__class") != F.col("__head"))
-        .select("__class", "__head").distinct(), "candidates",
+    rows = plain.filter(F.col("text").isNotNull()).select(*_row_key(), "text")
+    found = forest(
+        classes, rows, shingle=shingle, threshold=threshold, trees=trees, depth=depth, deepest=deepest, crowd=crowd, seed=seed
     )
+    edges = cut_lineage(found.select("__class", "__head").distinct(), "candidates")
     groups = components(edges, "__class", "__head").select(F.col("node").alias("__class"), F.col("label").alias("__comp"))
     sizes = groups.groupBy("__comp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("__blocks"))
     candidates = cut_lineage(
@@ -242,7 +297,7 @@ def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest
         .join(classes.select("__class", "__copies", F.col("__shown.__x").alias("__x"), F.col("__shown.__y").alias("__y")), "__class")
         .withColumn("__block", F.pmod(F.xxhash64("__class"), F.col("__blocks")).cast("int")), "members",
     )
-    texts = join_small(plain.filter(F.col("text").isNotNull()).select(*_row_key(), "text"), candidates, ["__x", "__y"], "inner")
+    texts = join_small(rows, candidates, ["__x", "__y"], "inner")
     # Rows equal in id and text show the same class more than once.
     texts = texts.drop("__x", "__y").dropDuplicates(["__class"])
     other = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
@@ -269,8 +324,8 @@ def _marked(docs: DataFrame, shingle: int, threshold: float, trees: int, deepest
 
 
 def keep_one(
-    docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, trees: int = 20, deepest: int = 8, recall: float = 0.999, block: int = 64,
-    seed: int = 0,
+    docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, trees: int = 20, deepest: int = 14, recall: float = 0.999, block: int = 64,
+    crowd: int = 256, seed: int = 0,
 ) -> DataFrame:
     """docs with one row of each group of near duplicates: the one with the smallest id, of equal ids one.
 
@@ -279,7 +334,7 @@ def keep_one(
     digests of the rows that go are joined with the texts.
     """
     marked = cut_lineage(
-        _marked(docs, shingle, threshold, trees, deepest, recall, block, seed).filter(F.col("__label").isNotNull()).select("doc_id", "__x", "__y", "__label"), "marked"
+        _marked(docs, shingle, threshold, trees, deepest, recall, block, crowd, seed).filter(F.col("__label").isNotNull()).select("doc_id", "__x", "__y", "__label"), "marked"
     )
     none = F.col("doc_id").isNull()
     best = marked.groupBy("__label").agg(F.min(F.struct(none.alias("none"), F.col("doc_id"), "__x", "__y")).alias("__best"))
