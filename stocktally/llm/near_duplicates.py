@@ -95,7 +95,7 @@ def sketches(docs: DataFrame, size: int, trees: int, depth: int, seed: int, keep
 def forest(
     classes: DataFrame, rows: DataFrame, *, shingle: int, threshold: float, trees: int, depth: int, deepest: int, crowd: int, seed: int
 ) -> DataFrame:
-    """(__class, __head, __depth): stars of classes that share a prefix, and the depth to which it was shortened.
+    """(__class, __head, __depth): ties between classes that share a prefix, and the depth to which it was shortened.
 
     The target recall allows prefixes of `depth` in the given trees. Where a node holds more than `crowd` classes, its
     classes are crowded and keep longer prefixes, up to `deepest`, in as many more trees as give the same recall. Two
@@ -132,8 +132,15 @@ def forest(
 
 
 def _stars(members: DataFrame, heads: DataFrame, depth: int) -> DataFrame:
-    joined = join_small(members, heads.select("__node", "__head"), "__node", "inner").filter(F.col("__class") != F.col("__head"))
-    return joined.select("__class", "__head", F.lit(depth).alias("__depth")).distinct()
+    """Stars of the nodes, contracted: a class is tied to the smallest head of its nodes, and that head to the others.
+
+    The classes of a large group share few smallest heads, so that a class costs about one row, however many trees it is in.
+    """
+    joined = join_small(members, heads.select("__node", "__head"), "__node", "inner")
+    met = joined.groupBy("__class").agg(F.collect_set("__head").alias("__heads")).withColumn("__least", F.array_min("__heads"))
+    ties = met.select("__class", F.col("__least").alias("__head"))
+    ties = ties.unionByName(met.select(F.explode("__heads").alias("__class"), F.col("__least").alias("__head")).distinct())
+    return ties.filter(F.col("__class") != F.col("__head")).select("__class", "__head", F.lit(depth).alias("__depth")).distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
