@@ -13,6 +13,7 @@ _EDGE = 1984  # buckets of word beginnings, and as many of word ends
 _SHAPES = 72  # kinds of words by their capitals, small letters, digits and other characters
 _TERMS = 2 * _EDGE + _SHAPES + 1  # the last one: words equal to the word before
 _ROWS = 512  # documents of one block of products
+_SCORED = 128  # documents that a worker scores at once: some 350 KB for each, in every worker of an executor
 
 
 @dataclass
@@ -99,7 +100,7 @@ def fit(sample: DataFrame, totals: dict[int, int], dims: int = 64, neighbours: i
 
     def packed(texts):
         out = []
-        for a, b in chunks(np.ones(len(texts), np.int64), _ROWS):
+        for a, b in chunks(np.ones(len(texts), np.int64), _SCORED):
             for row in term_counts(texts[a:b]):
                 at = np.flatnonzero(row)
                 out.append(np.concatenate([at, row[at]]).astype(np.int32).tobytes())
@@ -155,7 +156,7 @@ def classify_quality(
     shared = Shared(docs.sparkSession, model)
 
     def compute(texts):
-        scores = [shared.value.score(term_counts(texts[a:b])) for a, b in chunks(np.ones(len(texts), np.int64), _ROWS)]
+        scores = [shared.value.score(term_counts(texts[a:b])) for a, b in chunks(np.ones(len(texts), np.int64), _SCORED)]
         score = np.concatenate(scores)
         return [score, (score >= threshold).astype(np.int32)]
 
